@@ -22,7 +22,7 @@ from callgrove.errors import SystemMismatchError
 from callgrove.functions.columns import hash_id
 from callgrove.model import SystemDimension
 from callgrove.operators.tree import with_depth
-from callgrove.plans.lookup import lookup
+from callgrove.plans.lookup import lookup, measured_bytes
 
 if TYPE_CHECKING:
     from callgrove.profile import Profile
@@ -101,8 +101,12 @@ def _from_groups(profile: Profile, groups: DataFrame) -> Operands:
     sizes = groups.groupBy("result_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
     uses = groups.join(sizes, "result_id").select("experiment_id", "result_id", "ord", "n")
 
+    size = measured_bytes(uses)
+
     def assign(table: str, spread: list[str]) -> DataFrame:
-        used = lookup(_table(profile, table), uses, ["experiment_id"], spread=spread)
+        used = lookup(
+            _table(profile, table), uses, ["experiment_id"], table_bytes=size, spread=spread
+        )
         return used.drop("experiment_id")
 
     return Operands(
@@ -125,8 +129,8 @@ def _key_id(keys: Sequence[str], seed: int) -> Column:
     return hash_id(F.lit(seed), *keys)
 
 
-def _collision_free_seed(table: DataFrame, keys: Sequence[str]) -> int:
-    """Seed under which different keys of a result have different ids.
+def _hashed(table: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Seed under which different keys of a result have different ids, and the rows.
 
     Ids are 63-bit hashes of what they stand for, so they need no numbering and stay
     the same through nested operations.  A clash is next to impossible, but it would
@@ -134,13 +138,21 @@ def _collision_free_seed(table: DataFrame, keys: Sequence[str]) -> int:
     """
     key = F.struct(*keys)
     for seed in range(_SEEDS):
-        clashes = (
+        clashes, rows = (
             table.groupBy("result_id", _key_id(keys, seed).alias("_id"))
-            .agg(F.min(key).alias("_low"), F.max(key).alias("_high"))
-            .where(F.col("_low") != F.col("_high"))
+            .agg(
+                F.min(key).alias("_low"),
+                F.max(key).alias("_high"),
+                F.count(F.lit(1)).alias("_rows"),
+            )
+            .agg(
+                F.count_if(F.col("_low") != F.col("_high")),
+                F.coalesce(F.sum("_rows"), F.lit(0)),
+            )
+            .first()
         )
-        if clashes.isEmpty():
-            return seed
+        if not clashes:
+            return seed, rows
     raise RuntimeError("no collision-free ids")
 
 
@@ -178,40 +190,49 @@ def _common_tree(tree: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def _check_same_system(locations: DataFrame) -> None:
-    uneven = (
+def _same_system_rows(locations: DataFrame) -> int:
+    """Number of location rows, after checking that all operands have the same ones."""
+    place = F.concat_ws("/", *_PLACE)
+    uneven = F.col("_has") != F.col("_n")
+    rows, wrong, example = (
         locations.groupBy("result_id", *_PLACE)
-        .agg(F.count_distinct("ord").alias("_has"), F.max("n").alias("_n"))
-        .where(F.col("_has") != F.col("_n"))
+        .agg(
+            F.count_distinct("ord").alias("_has"),
+            F.max("n").alias("_n"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
+        .agg(
+            F.coalesce(F.sum("_rows"), F.lit(0)),
+            F.count_if(uneven),
+            F.min(F.when(uneven, F.struct("result_id", place.alias("place")))),
+        )
+        .first()
     )
-    example = uneven.first()
-    if example is not None:
-        place = "/".join(str(example[c]) for c in _PLACE)
+    if wrong:
         raise SystemMismatchError(
             f"operands of result {example.result_id} differ in their system dimension,"
-            f" e.g. location {place}; use REDUCE or COLLAPSE"
+            f" e.g. location {example.place}; use REDUCE or COLLAPSE"
         )
+    return rows
 
 
-def _places(locations: DataFrame, keys: list[str], *, own_ids: bool) -> DataFrame:
-    """Add ``place``, the id of a location in the result.
-
-    With ``own_ids`` it is the thread id in the first operand, which fits when all
-    operands have the same locations.  Otherwise it is a hash of the names.
-    """
-    if not own_ids:
-        seed = _collision_free_seed(locations, keys)
-        return locations.withColumn("place", _key_id(keys, seed))
-    ids = locations.groupBy("result_id", *keys).agg(
+def _first_ids(locations: DataFrame) -> DataFrame:
+    """Add ``place``, the thread id that a location has in the first operand."""
+    ids = locations.groupBy("result_id", *_PLACE).agg(
         F.min(F.struct("ord", "thread_id"))["thread_id"].alias("place")
     )
-    return locations.join(ids, ["result_id", *keys])
+    return locations.join(ids, ["result_id", *_PLACE])
 
 
-def _move(facts: DataFrame, places: DataFrame) -> DataFrame:
+def _move(facts: DataFrame, places: DataFrame, rows: int) -> DataFrame:
     """Replace the thread ids of the operands by those of the result."""
-    target = places.select(*_OPERAND, "thread_id", "place")
-    moved = lookup(facts, target, [*_OPERAND, "thread_id"], spread=["metric", "cnode_id"])
+    moved = lookup(
+        facts,
+        places.select(*_OPERAND, "thread_id", "place"),
+        [*_OPERAND, "thread_id"],
+        table_bytes=64.0 * rows,
+        spread=["metric", "cnode_id"],
+    )
     return moved.drop("thread_id").withColumnRenamed("place", "thread_id")
 
 
@@ -236,22 +257,30 @@ def _align(
         places = operands.locations.withColumn("place", F.lit(0).cast("long"))
         locations = _location_rows(places, [])
         facts = _sum_places(operands.facts).withColumn("thread_id", F.lit(0).cast("long"))
-    elif system_dim is SystemDimension.REDUCE:
-        keys = _PLACE[:3]
-        places = _places(operands.locations, keys, own_ids=False)
-        locations = _location_rows(places, keys)
-        facts = _sum_places(_move(operands.facts, places), "thread_id")
-    else:
-        if same_system:
-            _check_same_system(operands.locations)
-        places = _places(operands.locations, _PLACE, own_ids=same_system)
+    elif system_dim is SystemDimension.KEEP and same_system:
+        rows = _same_system_rows(operands.locations)
+        places = _first_ids(operands.locations)
         locations = _location_rows(places, _PLACE)
-        facts = _move(operands.facts, places)
-    seed = _collision_free_seed(operands.tree, ["names"])
+        facts = _move(operands.facts, places, rows)
+    else:
+        keys = _PLACE if system_dim is SystemDimension.KEEP else _PLACE[:3]
+        seed, rows = _hashed(operands.locations, keys)
+        places = operands.locations.withColumn("place", _key_id(keys, seed))
+        locations = _location_rows(places, keys)
+        facts = _move(operands.facts, places, rows)
+        if keys != _PLACE:
+            facts = _sum_places(facts, "thread_id")
+    seed, rows = _hashed(operands.tree, ["names"])
     nodes = operands.tree.select(
         *_OPERAND, "cnode_id", _key_id(["names"], seed).alias("_path")
     )
-    placed = lookup(facts, nodes, [*_OPERAND, "cnode_id"], spread=["metric", "thread_id"])
+    placed = lookup(
+        facts,
+        nodes,
+        [*_OPERAND, "cnode_id"],
+        table_bytes=64.0 * rows,
+        spread=["metric", "thread_id"],
+    )
     placed = placed.drop("cnode_id").withColumnRenamed("_path", "cnode_id")
     return Aligned(placed, _common_tree(operands.tree, seed), locations)
 
@@ -389,6 +418,7 @@ def _merge(operands: Operands, system_dim: SystemDimension, pinned: int | None)
         operands.facts,
         owners,
         ["result_id", "metric", "ord"],
+        table_bytes=measured_bytes(owners),
         spread=["cnode_id", "thread_id"],
         how="left_semi",
     )

@@ -69,7 +69,14 @@ def thread_values(
 ) -> DataFrame:
     """Exclusive value of the given nodes on each thread, with region names."""
     cells = dump(profile, (metric,), threads=threads)
-    chosen = lookup(cells, nodes.select(*_NODE), _NODE, spread=["thread_id"], how="left_semi")
+    chosen = lookup(
+        cells,
+        nodes.select(*_NODE),
+        _NODE,
+        table_bytes=profile.tree_size.bytes(32),
+        spread=["thread_id"],
+        how="left_semi",
+    )
     return region_names(profile, chosen).select(*_NODE, "thread_id", "name", "value")
 
 

@@ -23,11 +23,10 @@ _NODE = ["experiment_id", "cnode_id"]
 
 def require_metrics(profile: Profile, metrics: Sequence[str]) -> None:
     """Raise unless every metric exists in at least one experiment."""
-    wanted = list(dict.fromkeys(metrics))
+    wanted = set(metrics)
     if not wanted:
         raise UnknownMetricError("no metric given")
-    known = profile.metrics.where(F.col("metric").isin(wanted)).select("metric").distinct()
-    missing = set(wanted) - {row.metric for row in known.collect()}
+    missing = wanted - profile.seen_metrics(wanted)
     if missing:
         raise UnknownMetricError(f"unknown metric: {', '.join(sorted(missing))}")
 
@@ -46,8 +45,11 @@ def over_threads(facts: DataFrame) -> DataFrame:
 def metric_values(profile: Profile, metric: str) -> DataFrame:
     """Exclusive values of one metric; values of unknown nodes are dropped."""
     facts = of_metrics(profile, [metric]).select(*_NODE, "thread_id", "value")
-    known = profile.cnodes.select(*_NODE)
-    return lookup(facts, known, _NODE, spread=["thread_id"], how="left_semi", width=32)
+    known = profile.tree.select(*_NODE)
+    size = profile.tree_size.bytes(32)
+    return lookup(
+        facts, known, _NODE, table_bytes=size, spread=["thread_id"], how="left_semi"
+    )
 
 
 def dump(
@@ -77,7 +79,7 @@ def dump(
             facts = facts.where(chosen_threads)
         cells = facts.select("experiment_id", "metric", "cnode_id", "thread_id", "value")
     if z == "incl":
-        cells = roll_up(cells, profile.tree)
+        cells = roll_up(cells, profile.tree, profile.tree_size)
         if chosen_nodes is not None:
             cells = cells.where(chosen_nodes)
     if "thread_id" not in cells.columns:
@@ -92,7 +94,7 @@ def node_values(profile: Profile, metric: str, inclusive: bool) -> DataFrame:
     the experiment.  Experiments that do not have the metric are left out.
     """
     own = over_threads(of_metrics(profile, [metric]))
-    values = roll_up(own, profile.tree) if inclusive else own
+    values = roll_up(own, profile.tree, profile.tree_size) if inclusive else own
     totals = own.groupBy("experiment_id").agg(F.sum("value").alias("_total"))
     measured = profile.metrics.where(F.col("metric") == metric).select("experiment_id")
     scope = measured.join(totals, "experiment_id", "left")

@@ -40,15 +40,20 @@ def routine_stats(
     locations = profile.locations.groupBy("experiment_id").agg(
         F.count(F.lit(1)).alias("locations")
     )
-    present = per_thread.groupBy(*_GROUP).agg(
-        F.count(F.lit(1)).alias("_n"),
+    # Routines without any value take part as rows without a value.
+    all_rows = per_thread.withColumn("region_name", F.lit(None).cast("string")).unionByName(
+        _routines(profile, metrics, routines)
+    )
+    present = all_rows.groupBy(*_GROUP).agg(
+        F.max("region_name").alias("region_name"),
+        F.count("value").alias("_n"),
         F.sum("value").alias("_sum"),
         F.var_pop("value").alias("_var"),
         F.min("value").alias("_min"),
         F.max("value").alias("_max"),
     )
     zero = F.lit(0.0)
-    size, n = F.col("locations"), F.coalesce("_n", F.lit(0))
+    size, n = F.col("locations"), F.col("_n")
     total = F.coalesce("_sum", zero)
     absent = size - n
     mean_present = F.when(n > 0, total / n).otherwise(zero)
@@ -61,11 +66,7 @@ def routine_stats(
     maximum = F.when(absent > 0, F.greatest(F.coalesce("_max", zero), zero)).otherwise(
         F.col("_max")
     )
-    rows = (
-        _routines(profile, metrics, routines)
-        .join(locations, "experiment_id")
-        .join(present, _GROUP, "left")
-    )
+    rows = present.join(locations, "experiment_id")
     extra: list[str] = []
     if quartiles:
         rows = rows.join(_quartiles(per_thread, locations), _GROUP, "left")
@@ -97,18 +98,26 @@ def _chosen(name: Column, routines: Sequence[str] | None) -> Column:
 def _routines(
     profile: Profile, metrics: Sequence[str], routines: Sequence[str] | None
 ) -> DataFrame:
-    """Every routine of an experiment for each requested metric the experiment has."""
+    """Every routine of an experiment for each requested metric the experiment has.
+
+    A routine may come up once per node; the caller groups the rows anyway.
+    """
     wanted = list(dict.fromkeys(metrics))
     measured = profile.metrics.where(F.col("metric").isin(wanted)).select(
         "experiment_id", "metric"
     )
     return (
         profile.cnodes.where(_chosen(F.col("region_name"), routines))
-        .groupBy("experiment_id", "region_id")
-        .agg(F.min("region_name").alias("region_name"))
-        .withColumn("metric", F.explode(F.array(*(F.lit(m) for m in wanted))))
+        .select(
+            "experiment_id",
+            "region_id",
+            "region_name",
+            F.explode(F.array(*(F.lit(m) for m in wanted))).alias("metric"),
+        )
         .join(measured, ["experiment_id", "metric"], "left_semi")
         .withColumn("inclusive", F.explode(F.array(F.lit(True), F.lit(False))))
+        .withColumn("thread_id", F.lit(None).cast("bigint"))
+        .withColumn("value", F.lit(None).cast("double"))
     )
 
 
@@ -138,9 +147,8 @@ def _per_thread(
         ),
     )
     paths = profile.tree.select(*_NODE, charged.alias("_charged")).where(F.size("_charged") > 0)
-    placed = lookup(
-        facts, paths, _NODE, spread=["metric", "thread_id"], width=F.size("_charged") * 16 + 40
-    )
+    size = profile.tree_size.bytes(72, 16)
+    placed = lookup(facts, paths, _NODE, table_bytes=size, spread=["metric", "thread_id"])
     return (
         placed.select("experiment_id", "metric", "thread_id", "value", F.inline("_charged"))
         .groupBy(*_GROUP, "thread_id")

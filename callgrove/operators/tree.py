@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,7 +104,26 @@ def preorder_rows(tree: DataFrame) -> DataFrame:
     return number_rows(tree, ["experiment_id"], [F.col("ids")], "row_no")
 
 
-def roll_up(cells: DataFrame, tree: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class TreeSize:
+    """Rows of a call-tree table and the total length of its paths."""
+
+    nodes: int
+    steps: int
+
+    def bytes(self, per_node: int, per_step: int = 0) -> float:
+        """Size of a table with so many bytes per node and per path step."""
+        return float(self.nodes * per_node + self.steps * per_step)
+
+
+def measure(tree: DataFrame) -> TreeSize:
+    """Measure a tree with one small job."""
+    return TreeSize(
+        *tree.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
+    )
+
+
+def roll_up(cells: DataFrame, tree: DataFrame, size: TreeSize) -> DataFrame:
     """Turn exclusive cell values into inclusive ones.
 
     ``cells`` holds ``experiment_id, metric, cnode_id[, thread_id], value`` with one
@@ -113,7 +134,7 @@ def roll_up(cells: DataFrame, tree: DataFrame) -> DataFrame:
     keys = [c for c in cells.columns if c not in ("cnode_id", "value")]
     spread = [c for c in keys if c != "experiment_id"]
     paths = tree.select(*_NODE, "ids")
-    placed = lookup(cells, paths, _NODE, spread=spread, width=F.size("ids") * 8 + 40)
+    placed = lookup(cells, paths, _NODE, table_bytes=size.bytes(48, 8), spread=spread)
     return (
         placed.select(*keys, F.explode("ids").alias("cnode_id"), "value")
         .groupBy(*keys, "cnode_id")
@@ -122,7 +143,7 @@ def roll_up(cells: DataFrame, tree: DataFrame) -> DataFrame:
     )
 
 
-def self_values(inclusive: DataFrame, tree: DataFrame) -> DataFrame:
+def self_values(inclusive: DataFrame, tree: DataFrame, size: TreeSize) -> DataFrame:
     """Turn inclusive values into exclusive ones: subtract the children.
 
     Each value counts for its node and, negated, for its parent; one aggregation
@@ -130,7 +151,8 @@ def self_values(inclusive: DataFrame, tree: DataFrame) -> DataFrame:
     """
     keys = [c for c in inclusive.columns if c not in ("cnode_id", "value")]
     spread = [c for c in keys if c != "experiment_id"]
-    linked = lookup(inclusive, tree.select(*_NODE, "parent_id"), _NODE, spread=spread)
+    parents = tree.select(*_NODE, "parent_id")
+    linked = lookup(inclusive, parents, _NODE, table_bytes=size.bytes(40), spread=spread)
     charged = F.array(
         F.struct(F.col("cnode_id").alias("node"), F.col("value").alias("part")),
         F.struct(F.col("parent_id").alias("node"), (-F.col("value")).alias("part")),

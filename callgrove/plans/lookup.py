@@ -14,27 +14,30 @@ BROADCAST_BYTES = 48 * 1024 * 1024
 SALTS = 16
 
 
+def measured_bytes(table: DataFrame, width: Column | int = 64) -> float:
+    """Size of a table whose rows take ``width`` bytes."""
+    row_bytes = F.lit(width) if isinstance(width, int) else width
+    return table.agg(F.coalesce(F.sum(row_bytes.cast("double")), F.lit(0.0))).first()[0]
+
+
 def lookup(
     big: DataFrame,
     table: DataFrame,
     on: Sequence[str],
     *,
+    table_bytes: float,
     spread: Sequence[str],
     how: str = "inner",
-    width: Column | int = 64,
 ) -> DataFrame:
-    """Join ``big`` with ``table``, whose ``on`` keys are unique.
+    """Join ``big`` with a table of known size.
 
-    The table is measured first.  Up to ``BROADCAST_BYTES`` it is broadcast and
-    ``big`` is not moved.  Beyond that both sides are shuffled on the keys plus a
-    salt taken from the ``spread`` columns of ``big``, so the rows of one hot key
-    go to ``SALTS`` tasks.  ``width`` is the size of a table row in bytes.
+    Up to ``BROADCAST_BYTES`` the table is broadcast and ``big`` is not moved.
+    Beyond that both sides are shuffled on the keys plus a salt taken from the
+    ``spread`` columns of ``big``, so the rows of one hot key go to ``SALTS`` tasks.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported lookup type: {how}")
-    row_bytes = F.lit(width) if isinstance(width, int) else width
-    measured = table.agg(F.coalesce(F.sum(row_bytes.cast("double")), F.lit(0.0))).first()[0]
-    if measured <= BROADCAST_BYTES:
+    if table_bytes <= BROADCAST_BYTES:
         return big.join(F.broadcast(table), list(on), how)
     salted_big = big.withColumn(
         "_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from callgrove import model
 from callgrove.operators import algebra, dimensions, inspection, stats
-from callgrove.operators.tree import with_depth, with_paths
+from callgrove.operators.tree import TreeSize, measure, with_depth, with_paths
 from callgrove.sources import tables
 
 
@@ -37,6 +37,8 @@ class Profile:
         self.facts = facts
         self.experiment_id = experiment_id
         self._tree: DataFrame | None = None
+        self._tree_size: TreeSize | None = None
+        self._seen_metrics: set[str] = set()
 
     @property
     def pinned(self) -> bool:
@@ -51,6 +53,21 @@ class Profile:
             self._tree = with_depth(self.cnodes) if stored else with_paths(self.cnodes)
         return self._tree
 
+    @property
+    def tree_size(self) -> TreeSize:
+        """Size of the tree, measured once; decides how facts are joined with it."""
+        if self._tree_size is None:
+            self._tree_size = measure(self.tree)
+        return self._tree_size
+
+    def seen_metrics(self, names: set[str]) -> set[str]:
+        """Those of ``names`` that some experiment has."""
+        unseen = names - self._seen_metrics
+        if unseen:
+            found = self.metrics.where(F.col("metric").isin(list(unseen)))
+            self._seen_metrics |= {row.metric for row in found.select("metric").distinct().collect()}
+        return names & self._seen_metrics
+
     def experiment(self, experiment_id: int) -> Profile:
         """The given experiment alone (partition pruning on stored tables)."""
         only = F.col("experiment_id") == experiment_id

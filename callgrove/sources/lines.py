@@ -82,13 +82,15 @@ def csv_cells(line: Column) -> Column:
     quoted = F.regexp_extract_all(
         F.concat(F.lit(","), line), F.lit(r',\s*("(?:[^"]|"")*"|[^,]*)'), F.lit(1)
     )
-    return F.transform(
+    unquoted = F.transform(
         quoted,
         lambda cell: F.when(
             F.startswith(cell, F.lit('"')),
-            F.regexp_replace(F.regexp_replace(cell, r'^"|"\s*$', ""), '""', '"'),
-        ).otherwise(strip(cell)),
+            F.replace(F.regexp_replace(cell, r'^"|"\s*$', ""), F.lit('""'), F.lit('"')),
+        ).otherwise(F.btrim(cell, F.lit(" \t"))),
     )
+    plain = F.transform(F.split(line, ","), lambda cell: F.btrim(cell, F.lit(" \t")))
+    return F.when(F.contains(line, F.lit('"')), unquoted).otherwise(plain)
 
 
 def cell_of(cells: Column, header: Column, name: str) -> Column:

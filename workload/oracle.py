@@ -387,5 +387,5 @@ SELECT loader, experiment_id, reason FROM experiments, (VALUES
   ('dump', 'missing required ''Cnode ID'' column'),
   ('stat', 'missing columns: cube::Metric, Routine, Count, Sum, Mean, Variance, Minimum, Maximum'),
   ('tree', 'unexpected header: cube::Region,Number of Calls,Exclusive Time')) r(loader, reason)""",
-        "stored_calltree": calltree_incl,
+        "calltree_derived": calltree_incl,
     }

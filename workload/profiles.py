@@ -9,13 +9,18 @@ line number.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callgrove import Profile
+from callgrove.plans.lineage import shared_dir
 
 PROCESSES, THREADS = 5, 7
 
+_STORED: dict[tuple, Profile] = {}
+
 _METRICS = [
     ("time", "Time", "DOUBLE", "sec", "discounted price"),
     ("visits", "Visits", "UINT64", "occ", "order lines"),
@@ -61,6 +66,25 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def open_profile(
+    spark: SparkSession,
+    sf_dir: str,
+    *,
+    max_line: int | None = None,
+    split_metrics: bool = False,
+) -> Profile:
+    """The collection of :func:`order_profile`, stored once per session and reopened.
+
+    This is how collections are meant to be used: imported once, root paths
+    included, and queried many times with partition pruning.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, max_line, split_metrics)
+    if key not in _STORED:
+        derived = order_profile(spark, sf_dir, max_line=max_line, split_metrics=split_metrics)
+        _STORED[key] = derived.write(f"{shared_dir(spark)}/profile-{uuid.uuid4().hex}")
+    return _STORED[key]
+
+
 def order_profile(
     spark: SparkSession,
     sf_dir: str,

@@ -11,7 +11,7 @@ from callgrove import Profile, SystemDimension
 from callgrove.operators import algebra, analysis, dimensions, inspection, tree
 from callgrove.sources import reports
 from workload import exports
-from workload.profiles import order_profile
+from workload.profiles import open_profile, order_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -67,37 +67,37 @@ def _cells(profile: Profile, digits: int = 4) -> DataFrame:
 
 @query
 def metric_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_profile(spark, sf_dir).metric_tree
+    return open_profile(spark, sf_dir).metric_tree
 
 
 @query
 def system_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_profile(spark, sf_dir).system_tree
+    return open_profile(spark, sf_dir).system_tree
 
 
 @query
 def cnode_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_profile(spark, sf_dir).cnode_tree
+    return open_profile(spark, sf_dir).cnode_tree
 
 
 @query
 def metric_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(order_profile(spark, sf_dir).values("time"), value=4)
+    return _rounded(open_profile(spark, sf_dir).values("time"), value=4)
 
 
 @query
 def tree_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.tree_size(order_profile(spark, sf_dir))
+    return dimensions.tree_size(open_profile(spark, sf_dir))
 
 
 @query
 def layout_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.layout_summary(order_profile(spark, sf_dir))
+    return dimensions.layout_summary(open_profile(spark, sf_dir))
 
 
 @query
 def preorder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbered = tree.preorder_rows(order_profile(spark, sf_dir).tree)
+    numbered = tree.preorder_rows(open_profile(spark, sf_dir).tree)
     return numbered.select(
         "experiment_id", "row_no", "cnode_id", F.array_join("ids", "/").alias("id_path")
     )
@@ -108,58 +108,58 @@ def preorder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def calltree_incl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = order_profile(spark, sf_dir).calltree("time", inclusive=True)
+    rows = open_profile(spark, sf_dir).calltree("time", inclusive=True)
     return _rounded(rows, value=4, pct=6)
 
 
 @query
 def calltree_excl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = order_profile(spark, sf_dir).calltree("time", inclusive=False)
+    rows = open_profile(spark, sf_dir).calltree("time", inclusive=False)
     return _rounded(rows, value=4, pct=6)
 
 
 @query
 def calltree_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = order_profile(spark, sf_dir).calltree("bytes", threshold=1.5, inclusive=True)
+    rows = open_profile(spark, sf_dir).calltree("bytes", threshold=1.5, inclusive=True)
     return _rounded(rows, value=4, pct=6)
 
 
 @query
 def info_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(order_profile(spark, sf_dir).info("visits"), value=4)
+    return _rounded(open_profile(spark, sf_dir).info("visits"), value=4)
 
 
 @query
 def tree_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(inspection.tree_view(order_profile(spark, sf_dir)), value=4, pct=6)
+    return _rounded(inspection.tree_view(open_profile(spark, sf_dir)), value=4, pct=6)
 
 
 @query
 def info_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(order_profile(spark, sf_dir).info_basic(), wallclock_time=4)
+    return _rounded(open_profile(spark, sf_dir).info_basic(), wallclock_time=4)
 
 
 @query
 def dump_aggr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(order_profile(spark, sf_dir).dump(("time", "bytes")), value=4)
+    return _rounded(open_profile(spark, sf_dir).dump(("time", "bytes")), value=4)
 
 
 @query
 def dump_thread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = order_profile(spark, sf_dir).dump(("time", "visits"), threads="all")
+    rows = open_profile(spark, sf_dir).dump(("time", "visits"), threads="all")
     return _rounded(rows, value=4)
 
 
 @query
 def dump_incl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = order_profile(spark, sf_dir).dump(("time",), threads="all", z="incl")
+    rows = open_profile(spark, sf_dir).dump(("time",), threads="all", z="incl")
     return _rounded(rows, value=4)
 
 
 @query
 def dump_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The selection strings are the operator under test."""
-    rows = order_profile(spark, sf_dir).dump(
+    rows = open_profile(spark, sf_dir).dump(
         ("time", "visits"), cnodes="0,1,3-5,100-124", threads="0-7,21", z="incl"
     )
     return _rounded(rows, value=4)
@@ -167,10 +167,10 @@ def dump_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def exclusive_from_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = order_profile(spark, sf_dir)
+    profile = open_profile(spark, sf_dir)
     cells = profile.facts.where(F.col("metric") == "time")
-    rolled = tree.roll_up(cells, profile.tree)
-    return _rounded(tree.self_values(rolled, profile.tree), value=4)
+    nodes, size = profile.tree, profile.tree_size
+    return _rounded(tree.self_values(tree.roll_up(cells, nodes, size), nodes, size), value=4)
 
 
 # Statistics
@@ -178,13 +178,13 @@ def exclusive_from_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stat_routines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stat_digits(order_profile(spark, sf_dir).stat(("time", "visits")))
+    return _stat_digits(open_profile(spark, sf_dir).stat(("time", "visits")))
 
 
 @query
 def stat_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The routine filter is the operator under test."""
-    rows = order_profile(spark, sf_dir).stat(
+    rows = open_profile(spark, sf_dir).stat(
         ("time",), routines=("main", "ASIA", "EUROPE", "NATION_7", "NATION_12"), ddof=0
     )
     return _stat_digits(rows)
@@ -192,7 +192,7 @@ def stat_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stat_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = order_profile(spark, sf_dir).stat(("time",), quartiles=True)
+    rows = open_profile(spark, sf_dir).stat(("time",), quartiles=True)
     return _rounded(
         rows.select(
             "experiment_id", "metric", "region_id", "routine", "quartile_25", "median", "quartile_75"
@@ -205,7 +205,7 @@ def stat_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stat_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(order_profile(spark, sf_dir).stat(top_n=25), sum=4)
+    return _rounded(open_profile(spark, sf_dir).stat(top_n=25), sum=4)
 
 
 def _stat_digits(rows: DataFrame) -> DataFrame:
@@ -217,21 +217,21 @@ def _stat_digits(rows: DataFrame) -> DataFrame:
 
 @query
 def diff_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = order_profile(spark, sf_dir)
+    profile = open_profile(spark, sf_dir)
     return _cells(algebra.diff_pairs(profile, _year_pairs(profile, "minuend", "subtrahend")))
 
 
 @query
 def diff_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full years against the same years without the threads from 4 on."""
-    whole = order_profile(spark, sf_dir)
-    part = order_profile(spark, sf_dir, max_line=4)
+    whole = open_profile(spark, sf_dir)
+    part = open_profile(spark, sf_dir, max_line=4)
     return _cells(whole.diff(part, SystemDimension.REDUCE))
 
 
 @query
 def diff_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = order_profile(spark, sf_dir)
+    profile = open_profile(spark, sf_dir)
     pairs = _year_pairs(profile, "minuend", "subtrahend")
     return _cells(algebra.diff_pairs(profile, pairs, system_dim=SystemDimension.COLLAPSE))
 
@@ -239,14 +239,14 @@ def diff_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odd years have time and visits, even years visits and bytes."""
-    profile = order_profile(spark, sf_dir, split_metrics=True)
+    profile = open_profile(spark, sf_dir, split_metrics=True)
     groups = algebra.pair_groups(_year_pairs(profile, "first", "second"))
     return _cells(algebra.merge_groups(profile, groups))
 
 
 @query
 def mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = order_profile(spark, sf_dir)
+    profile = open_profile(spark, sf_dir)
     groups = profile.experiments.select(F.lit(0).cast("long").alias("result_id"), "experiment_id")
     return _cells(algebra.mean_groups(profile, groups), 5)
 
@@ -254,22 +254,22 @@ def mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cmp_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every year against the next."""
-    profile = order_profile(spark, sf_dir)
+    profile = open_profile(spark, sf_dir)
     return algebra.cmp_pairs(profile, _year_pairs(profile, "left", "right")).summary
 
 
 @query
 def cmp_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full years against the same years without the threads from 4 on."""
-    whole = order_profile(spark, sf_dir)
-    part = order_profile(spark, sf_dir, max_line=4)
+    whole = open_profile(spark, sf_dir)
+    part = open_profile(spark, sf_dir, max_line=4)
     return _rounded(whole.cmp(part, rel_tol=1e-9).details, left=4, right=4)
 
 
 @query
 def diff_calltree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An algebra result is a profile again: the call tree of a difference."""
-    profile = order_profile(spark, sf_dir)
+    profile = open_profile(spark, sf_dir)
     pairs = _year_pairs(profile, "minuend", "subtrahend")
     delta = algebra.diff_pairs(profile, pairs, system_dim=SystemDimension.COLLAPSE)
     rows = delta.calltree("time", inclusive=True)
@@ -283,29 +283,29 @@ def diff_calltree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top_self_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(analysis.top_self_time(order_profile(spark, sf_dir)), value=4)
+    return _rounded(analysis.top_self_time(open_profile(spark, sf_dir)), value=4)
 
 
 @query
 def stat_incl_errorbars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = analysis.inclusive_error_bars(order_profile(spark, sf_dir), ("time", "bytes"))
+    rows = analysis.inclusive_error_bars(open_profile(spark, sf_dir), ("time", "bytes"))
     return _rounded(rows, mean=6, err_low=5, err_high=5)
 
 
 @query
 def hottest_cnode_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(analysis.hottest_node_threads(order_profile(spark, sf_dir)), value=4)
+    return _rounded(analysis.hottest_node_threads(open_profile(spark, sf_dir)), value=4)
 
 
 @query
 def imbalance_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = analysis.thread_imbalance(order_profile(spark, sf_dir))
+    rows = analysis.thread_imbalance(open_profile(spark, sf_dir))
     return _rounded(rows, value=4, mean_value=5, imbalance=6)
 
 
 @query
 def diff_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = order_profile(spark, sf_dir)
+    profile = open_profile(spark, sf_dir)
     pairs = _year_pairs(profile, "minuend", "subtrahend")
     delta = algebra.diff_pairs(profile, pairs, system_dim=SystemDimension.COLLAPSE)
     rows = analysis.top_changes(delta)
@@ -318,7 +318,7 @@ def diff_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def load_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = exports.stat_reports(
-        order_profile(spark, sf_dir), exports.new_folder(spark, "stat")
+        open_profile(spark, sf_dir), exports.new_folder(spark, "stat")
     )
     return _stat_digits(reports.load_stat(spark, folder, parts=True).rows.drop("report"))
 
@@ -326,7 +326,7 @@ def load_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def load_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = exports.flat_reports(
-        order_profile(spark, sf_dir), exports.new_folder(spark, "flat"), 25
+        open_profile(spark, sf_dir), exports.new_folder(spark, "flat"), 25
     )
     return _rounded(reports.load_flat(spark, folder, parts=True).rows.drop("report"), sum=4)
 
@@ -334,7 +334,7 @@ def load_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def load_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = exports.basic_reports(
-        order_profile(spark, sf_dir), exports.new_folder(spark, "basic")
+        open_profile(spark, sf_dir), exports.new_folder(spark, "basic")
     )
     rows = reports.load_basic(spark, folder, parts=True).rows.drop("report")
     return _rounded(rows, wallclock_time=4)
@@ -343,7 +343,7 @@ def load_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def load_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = exports.tree_reports(
-        order_profile(spark, sf_dir), exports.new_folder(spark, "tree")
+        open_profile(spark, sf_dir), exports.new_folder(spark, "tree")
     )
     return _rounded(reports.load_tree(spark, folder, parts=True).rows.drop("report"), value=4)
 
@@ -351,7 +351,7 @@ def load_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def load_calltree(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = exports.calltree_reports(
-        order_profile(spark, sf_dir), exports.new_folder(spark, "calltree")
+        open_profile(spark, sf_dir), exports.new_folder(spark, "calltree")
     )
     rows = reports.load_calltree(spark, folder, parts=True).rows.drop("report")
     return _rounded(rows, value=4, pct=6)
@@ -360,7 +360,7 @@ def load_calltree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def load_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = exports.dump_reports(
-        order_profile(spark, sf_dir), exports.new_folder(spark, "dump")
+        open_profile(spark, sf_dir), exports.new_folder(spark, "dump")
     )
     return _rounded(reports.load_dump(spark, folder, parts=True).rows.drop("report"), value=4)
 
@@ -369,7 +369,7 @@ def load_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat-profile reports are no dumps and have no statistics columns."""
     folder = exports.flat_reports(
-        order_profile(spark, sf_dir), exports.new_folder(spark, "flat"), 25
+        open_profile(spark, sf_dir), exports.new_folder(spark, "flat"), 25
     )
     return (
         _reasons("dump", reports.load_dump(spark, folder, parts=True))
@@ -386,7 +386,7 @@ def _reasons(kind: str, loaded: reports.Loaded) -> DataFrame:
 
 
 @query
-def stored_calltree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store the collection, reopen it and show the call tree."""
-    stored = order_profile(spark, sf_dir).write(exports.new_folder(spark, "profile"))
-    return _rounded(stored.calltree("time", inclusive=True), value=4, pct=6)
+def calltree_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The call tree straight from the order tables: no stored paths to start from."""
+    rows = order_profile(spark, sf_dir).calltree("time", inclusive=True)
+    return _rounded(rows, value=4, pct=6)
