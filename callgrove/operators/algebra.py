@@ -22,6 +22,7 @@ from callgrove.errors import SystemMismatchError
 from callgrove.functions.columns import hash_id
 from callgrove.model import SystemDimension
 from callgrove.operators.tree import with_depth
+from callgrove.plans.lineage import cut_and_observe
 from callgrove.plans.lookup import lookup, measured_bytes
 
 if TYPE_CHECKING:

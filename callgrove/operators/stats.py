@@ -41,11 +41,11 @@ def routine_stats(
         F.count(F.lit(1)).alias("locations")
     )
     # Routines without any value take part as rows without a value.
-    all_rows = per_thread.withColumn("region_name", F.lit(None).cast("string")).unionByName(
-        _routines(profile, metrics, routines)
+    named = profile.cnodes.where(_chosen(F.col("region_name"), routines)).select(
+        "experiment_id", "region_id", "region_name"
     )
+    all_rows = per_thread.unionByName(_routines(profile, named, metrics))
     present = all_rows.groupBy(*_GROUP).agg(
-        F.max("region_name").alias("region_name"),
         F.count("value").alias("_n"),
         F.sum("value").alias("_sum"),
         F.var_pop("value").alias("_var"),
@@ -66,7 +66,9 @@ def routine_stats(
     maximum = F.when(absent > 0, F.greatest(F.coalesce("_max", zero), zero)).otherwise(
         F.col("_max")
     )
-    rows = present.join(locations, "experiment_id")
+    rows = present.join(locations, "experiment_id").join(
+        named.distinct(), ["experiment_id", "region_id"]
+    )
     extra: list[str] = []
     if quartiles:
         rows = rows.join(_quartiles(per_thread, locations), _GROUP, "left")
@@ -95,9 +97,7 @@ def _chosen(name: Column, routines: Sequence[str] | None) -> Column:
     return name.isin(list(routines)) if routines else F.lit(True)
 
 
-def _routines(
-    profile: Profile, metrics: Sequence[str], routines: Sequence[str] | None
-) -> DataFrame:
+def _routines(profile: Profile, named: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Every routine of an experiment for each requested metric the experiment has.
 
     A routine may come up once per node; the caller groups the rows anyway.
@@ -107,11 +107,9 @@ def _routines(
         "experiment_id", "metric"
     )
     return (
-        profile.cnodes.where(_chosen(F.col("region_name"), routines))
-        .select(
+        named.select(
             "experiment_id",
             "region_id",
-            "region_name",
             F.explode(F.array(*(F.lit(m) for m in wanted))).alias("metric"),
         )
         .join(measured, ["experiment_id", "metric"], "left_semi")
@@ -193,9 +191,8 @@ def flat_profile(profile: Profile, top_n: int) -> DataFrame:
     zero = F.lit(0.0)
     routines = (
         regions.join(by_node, _NODE, "left")
-        .groupBy("experiment_id", "region_id")
+        .groupBy("experiment_id", "region_id", F.col("region_name").alias("routine"))
         .agg(
-            F.min("region_name").alias("routine"),
             F.coalesce(F.sum(F.when(F.col("metric") == "visits", F.col("value"))), zero).alias(
                 "_calls"
             ),

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from callgrove.plans.lineage import cut_and_observe
+
 SPLIT = ["report", "file", "block"]
 
 
@@ -46,11 +48,20 @@ def experiment_of(report: Column) -> Column:
     return digits.try_cast("bigint")
 
 
-def summarize_splits(lines: DataFrame, **aggregates: Column) -> DataFrame:
-    """A row per split with the given aggregates of its lines."""
-    return lines.groupBy(*SPLIT).agg(
+def summarize_splits(lines: DataFrame, **aggregates: Column) -> tuple[DataFrame, float]:
+    """A row per split with the given aggregates of its lines, and the table's size.
+
+    This is one pass over the text.  The result is kept, so judging the reports and
+    numbering their rows does not read the text again.
+    """
+    splits = lines.groupBy(*SPLIT).agg(
         *(aggregate.alias(name) for name, aggregate in aggregates.items())
     )
+    stored, seen = cut_and_observe(
+        splits,
+        bytes=F.sum(F.length("report") + F.length("file") + F.length("first.line") + 96),
+    )
+    return stored, float(seen.get("bytes") or 0)
 
 
 def first_line(of: Column) -> Column:
