@@ -21,7 +21,7 @@ def read_lines(spark: SparkSession, path: str, *, parts: bool = False) -> DataFr
     """Every line as ``report, file, block, seq, line``."""
     text = spark.read.option("recursiveFileLookup", True).text(path)
     return text.select(
-        _report(parts).alias("report"),
+        _report(F.col("_metadata.file_path"), parts).alias("report"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
@@ -30,15 +30,18 @@ def read_lines(spark: SparkSession, path: str, *, parts: bool = False) -> DataFr
 
 
 def list_reports(spark: SparkSession, path: str, *, parts: bool = False) -> DataFrame:
-    """Every report, also those without a line; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(_report(parts).alias("report"), "length").groupBy("report").agg(
-        F.sum("length").alias("bytes")
-    )
+    """Every report, also those without a line, which a scan would skip.
+
+    The names come from the file listing that the driver makes for any scan.
+    """
+    names = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
+    files = spark.createDataFrame([(name,) for name in names], "file string")
+    return files.select(_report(F.col("file"), parts).alias("report")).distinct()
 
 
-def _report(parts: bool) -> Column:
-    file = F.col("_metadata.file_path")
+def _report(file: Column, parts: bool) -> Column:
+    # Local paths come with one slash from a scan and with three from a listing.
+    file = F.regexp_replace(file, "^file:/+", "file:/")
     return F.regexp_replace(file, r"/[^/]*$", "") if parts else file
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "8") -> SparkSession:
+def local_session(cores: str = "8", partitions: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("callgrove")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
