@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,16 +36,18 @@ def id_ranges(text: str) -> list[tuple[int, int]] | None:
     return merged
 
 
-def id_filter(column: str, text: str) -> Column | None:
-    """Predicate of a selection on ``column``, in a form the parquet scan can use."""
+def id_filter(text: str) -> Callable[[Column], Column] | None:
+    """Predicate on an id column, in a form the parquet scan can use."""
     ranges = id_ranges(text)
     if ranges is None:
         return None
     singles = [low for low, high in ranges if low == high]
-    tests = [F.col(column).between(low, high) for low, high in ranges if low != high]
-    if singles:
-        tests.append(F.col(column).isin(singles))
-    chosen = tests[0]
-    for test in tests[1:]:
-        chosen = chosen | test
+    spans = [(low, high) for low, high in ranges if low != high]
+
+    def chosen(ids: Column) -> Column:
+        tests = [ids.between(low, high) for low, high in spans]
+        if singles:
+            tests.append(ids.isin(singles))
+        return functools.reduce(operator.or_, tests)
+
     return chosen

@@ -22,7 +22,7 @@ from callgrove.errors import SystemMismatchError
 from callgrove.functions.columns import hash_id
 from callgrove.model import SystemDimension
 from callgrove.operators.tree import with_depth
-from callgrove.plans.lineage import cut_and_observe
+from callgrove.plans.lineage import cut, cut_and_observe
 from callgrove.plans.lookup import lookup, measured_bytes
 
 if TYPE_CHECKING:
@@ -98,11 +98,17 @@ def _from_profiles(profiles: tuple[Profile, ...]) -> Operands:
 
 
 def _from_groups(profile: Profile, groups: DataFrame) -> Operands:
-    """Operands given as rows ``result_id, ord, experiment_id`` over one collection."""
-    sizes = groups.groupBy("result_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    uses = groups.join(sizes, "result_id").select("experiment_id", "result_id", "ord", "n")
+    """Operands given as rows ``result_id, ord, experiment_id`` over one collection.
 
-    size = measured_bytes(uses)
+    The groups go into every table, so they are computed once and kept.
+    """
+    groups = cut(groups)
+    sizes = groups.groupBy("result_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    uses, seen = cut_and_observe(
+        groups.join(sizes, "result_id").select("experiment_id", "result_id", "ord", "n"),
+        rows=F.count(F.lit(1)),
+    )
+    size = 64.0 * seen.get("rows", 0)
 
     def assign(table: str, spread: list[str]) -> DataFrame:
         used = lookup(

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callgrove.functions.columns import class_label, inclusive_name
+from callgrove.functions.selection import id_filter
 from callgrove.operators.dimensions import region_names
-from callgrove.operators.inspection import calltree, dump, of_metrics, over_threads
+from callgrove.operators.inspection import calltree, dump, of_metrics
 from callgrove.operators.stats import routine_stats
 from callgrove.plans.lookup import lookup
 from callgrove.plans.ranking import top_k
@@ -58,32 +59,42 @@ def inclusive_error_bars(profile: Profile, metrics: Sequence[str] = ("time",)) -
     )
 
 
-def hottest_nodes(profile: Profile, k: int, metric: str = "time") -> DataFrame:
-    """The ``k`` nodes of each experiment with the largest exclusive value."""
-    own = over_threads(of_metrics(profile, [metric]))
-    return top_k(own, ["experiment_id"], [F.desc("value"), F.asc("cnode_id")], k).select(*_NODE)
+def hottest_nodes(
+    profile: Profile, k: int, metric: str = "time", threads: str = "all"
+) -> DataFrame:
+    """The ``k`` nodes of each experiment with the largest exclusive value.
+
+    ``mean_value`` and ``peak`` describe the values on the chosen threads.
+    """
+    chosen = id_filter(threads)
+    value = F.col("value")
+    on_threads = value if chosen is None else F.when(chosen(F.col("thread_id")), value)
+    own = (
+        of_metrics(profile, [metric])
+        .groupBy(*_NODE)
+        .agg(
+            F.sum("value").alias("total"),
+            F.avg(on_threads).alias("mean_value"),
+            F.max(on_threads).alias("peak"),
+        )
+    )
+    return top_k(own, ["experiment_id"], [F.desc("total"), F.asc("cnode_id")], k)
 
 
 def thread_values(
     profile: Profile, nodes: DataFrame, metric: str = "time", threads: str = "all"
 ) -> DataFrame:
-    """Exclusive value of the given nodes on each thread, with region names."""
-    cells = dump(profile, (metric,), threads=threads)
-    chosen = lookup(
-        cells,
-        nodes.select(*_NODE),
-        _NODE,
-        table_bytes=profile.tree_size.bytes(32),
-        spread=["thread_id"],
-        how="left_semi",
-    )
-    return region_names(profile, chosen).select(*_NODE, "thread_id", "name", "value")
+    """Exclusive value of the given nodes on each thread, with their region names."""
+    named = region_names(profile, nodes)
+    cells = dump(profile, (metric,), threads=threads).drop("metric")
+    size = profile.tree_size.bytes(128)
+    return lookup(cells, named, _NODE, table_bytes=size, spread=["thread_id"])
 
 
 def hottest_node_threads(profile: Profile, metric: str = "time", threads: str = "all") -> DataFrame:
     """Values per thread of the hottest node of each experiment, in thread order."""
     rows = thread_values(profile, hottest_nodes(profile, 1, metric), metric, threads)
-    return rows.orderBy("experiment_id", "thread_id")
+    return rows.orderBy("experiment_id", "thread_id").select(*_NODE, "thread_id", "name", "value")
 
 
 def thread_imbalance(
@@ -94,16 +105,12 @@ def thread_imbalance(
     ``imbalance`` is the largest value over the mean; nodes without values on the
     chosen threads do not appear.
     """
-    rows = thread_values(profile, hottest_nodes(profile, k, metric), metric, threads)
-    level = rows.groupBy(*_NODE).agg(
-        F.avg("value").alias("mean_value"), F.max("value").alias("_max")
-    )
-    ratio = F.when(F.col("mean_value") != 0, F.col("_max") / F.col("mean_value"))
-    return (
-        rows.join(level, _NODE)
-        .withColumn("imbalance", ratio.otherwise(F.lit(0.0)))
-        .drop("_max")
-        .orderBy("experiment_id", "cnode_id", "thread_id")
+    nodes = hottest_nodes(profile, k, metric, threads)
+    mean_value = F.col("mean_value")
+    ratio = F.when(mean_value != 0, F.col("peak") / mean_value).otherwise(F.lit(0.0))
+    rows = thread_values(profile, nodes, metric, threads)
+    return rows.orderBy("experiment_id", "cnode_id", "thread_id").select(
+        *_NODE, "thread_id", "name", "value", "mean_value", ratio.alias("imbalance")
     )
 
 

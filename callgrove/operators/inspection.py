@@ -32,9 +32,15 @@ def require_metrics(profile: Profile, metrics: Sequence[str]) -> None:
 
 
 def of_metrics(profile: Profile, metrics: Sequence[str]) -> DataFrame:
-    """Facts of the given metrics (a partition filter on stored facts)."""
+    """Facts of the given metrics (a partition filter on stored facts).
+
+    Joins on the node would drop facts without one in some branches of a plan only;
+    dropping them here lets the branches share one scan and one shuffle.
+    """
     require_metrics(profile, metrics)
-    return profile.facts.where(F.col("metric").isin(list(metrics)))
+    return profile.facts.where(
+        F.col("metric").isin(list(metrics)) & F.col("cnode_id").isNotNull()
+    )
 
 
 def over_threads(facts: DataFrame) -> DataFrame:
@@ -68,20 +74,18 @@ def dump(
     if z not in ("incl", "excl"):
         raise ValueError(f"z must be 'incl' or 'excl', got {z!r}")
     facts = of_metrics(profile, metrics)
-    chosen_nodes = id_filter("cnode_id", cnodes)
+    chosen_nodes = id_filter(cnodes)
     if z == "excl" and chosen_nodes is not None:
-        facts = facts.where(chosen_nodes)
+        facts = facts.where(chosen_nodes(F.col("cnode_id")))
     if threads.strip().lower() == "aggr":
         cells = over_threads(facts)
     else:
-        chosen_threads = id_filter("thread_id", threads)
+        chosen_threads = id_filter(threads)
         if chosen_threads is not None:
-            facts = facts.where(chosen_threads)
+            facts = facts.where(chosen_threads(F.col("thread_id")))
         cells = facts.select("experiment_id", "metric", "cnode_id", "thread_id", "value")
     if z == "incl":
-        cells = roll_up(cells, profile.tree, profile.tree_size)
-        if chosen_nodes is not None:
-            cells = cells.where(chosen_nodes)
+        cells = roll_up(cells, profile.tree, profile.tree_size, onto=chosen_nodes)
     if "thread_id" not in cells.columns:
         cells = cells.withColumn("thread_id", F.lit(ALL_THREADS).cast("long"))
     return cells.select("experiment_id", "cnode_id", "thread_id", "metric", "value")

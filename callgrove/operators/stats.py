@@ -37,6 +37,10 @@ def routine_stats(
     ``routines`` are kept; ``None`` or an empty sequence keeps all.
     """
     per_thread = _per_thread(profile, metrics, routines)
+    if quartiles:
+        # Ranking keeps the rows, so the facts are read once for all statistics.
+        order = [F.col("value"), F.col("thread_id")]
+        per_thread = number_rows(per_thread, _GROUP, order, "_rank")
     locations = profile.locations.groupBy("experiment_id").agg(
         F.count(F.lit(1)).alias("locations")
     )
@@ -44,7 +48,9 @@ def routine_stats(
     named = profile.cnodes.where(_chosen(F.col("region_name"), routines)).select(
         "experiment_id", "region_id", "region_name"
     )
-    all_rows = per_thread.unionByName(_routines(profile, named, metrics))
+    all_rows = per_thread.select(*_GROUP, "value").unionByName(
+        _routines(profile, named, metrics)
+    )
     present = all_rows.groupBy(*_GROUP).agg(
         F.count("value").alias("_n"),
         F.sum("value").alias("_sum"),
@@ -114,7 +120,6 @@ def _routines(profile: Profile, named: DataFrame, metrics: Sequence[str]) -> Dat
         )
         .join(measured, ["experiment_id", "metric"], "left_semi")
         .withColumn("inclusive", F.explode(F.array(F.lit(True), F.lit(False))))
-        .withColumn("thread_id", F.lit(None).cast("bigint"))
         .withColumn("value", F.lit(None).cast("double"))
     )
 
@@ -154,14 +159,13 @@ def _per_thread(
     )
 
 
-def _quartiles(per_thread: DataFrame, locations: DataFrame) -> DataFrame:
+def _quartiles(ranked: DataFrame, locations: DataFrame) -> DataFrame:
     """Exact quartiles by linear interpolation between ranks.
 
-    Values are ranked by a distributed sort.  The zeros of absent locations sit
-    between the negative and the other values: they push up the ranks of the latter
-    and fill every rank that no stored value takes.
+    ``_rank`` comes from a distributed sort of the values.  The zeros of absent
+    locations sit between the negative and the other values: they push up the ranks
+    of the latter and fill every rank that no stored value takes.
     """
-    ranked = number_rows(per_thread, _GROUP, [F.col("value"), F.col("thread_id")], "_rank")
     stored = ranked.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_stored"))
     sized = ranked.join(stored, _GROUP).join(locations, "experiment_id")
     shift = F.when(F.col("value") >= 0, F.col("locations") - F.col("_stored")).otherwise(F.lit(0))

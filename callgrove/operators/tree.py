@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -123,20 +124,30 @@ def measure(tree: DataFrame) -> TreeSize:
     )
 
 
-def roll_up(cells: DataFrame, tree: DataFrame, size: TreeSize) -> DataFrame:
+def roll_up(
+    cells: DataFrame,
+    tree: DataFrame,
+    size: TreeSize,
+    onto: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """Turn exclusive cell values into inclusive ones.
 
     ``cells`` holds ``experiment_id, metric, cnode_id[, thread_id], value`` with one
     row per key.  Each cell is charged to every node of its path; the sums are
     combined before the shuffle, so the many cells below one root arrive as one row
-    per task.
+    per task.  ``onto`` restricts the nodes that receive values; cells that reach none
+    of them are dropped by the join.
     """
     keys = [c for c in cells.columns if c not in ("cnode_id", "value")]
     spread = [c for c in keys if c != "experiment_id"]
     paths = tree.select(*_NODE, "ids")
+    if onto is not None:
+        paths = paths.withColumn("ids", F.filter("ids", onto)).where(F.size("ids") > 0)
     placed = lookup(cells, paths, _NODE, table_bytes=size.bytes(48, 8), spread=spread)
+    # No path is empty.  The outer form keeps Spark from inferring a filter on the path
+    # length, which would prune the scan here and so keep other branches from sharing it.
     return (
-        placed.select(*keys, F.explode("ids").alias("cnode_id"), "value")
+        placed.select(*keys, F.explode_outer("ids").alias("cnode_id"), "value")
         .groupBy(*keys, "cnode_id")
         .agg(F.sum("value").alias("value"))
         .select(*cells.columns)

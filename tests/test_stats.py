@@ -6,8 +6,14 @@ from callgrove.operators import analysis
 from callgrove.plans import lookup as lookup_module
 
 
+_KNOWN: dict = {}
+
+
 def _stats(profile, **options):
-    return {r.routine: r for r in profile.stat(("time",), **options).collect()}
+    key = (id(profile), repr(options))
+    if key not in _KNOWN:
+        _KNOWN[key] = {r.routine: r for r in profile.stat(("time",), **options).collect()}
+    return _KNOWN[key]
 
 
 def test_columns(profile):
