@@ -34,12 +34,14 @@ def require_metrics(profile: Profile, metrics: Sequence[str]) -> None:
 def of_metrics(profile: Profile, metrics: Sequence[str]) -> DataFrame:
     """Facts of the given metrics (a partition filter on stored facts).
 
-    Joins on the node would drop facts without one in some branches of a plan only;
+    Joins on the node would drop facts without a key in some branches of a plan only;
     dropping them here lets the branches share one scan and one shuffle.
     """
     require_metrics(profile, metrics)
     return profile.facts.where(
-        F.col("metric").isin(list(metrics)) & F.col("cnode_id").isNotNull()
+        F.col("metric").isin(list(metrics))
+        & F.col("experiment_id").isNotNull()
+        & F.col("cnode_id").isNotNull()
     )
 
 
