@@ -65,12 +65,15 @@ def elements(words: Column, k: int = K) -> Column:
 def tuples(text: Column, k: int = K, count: int = TUPLES, pick: int = PICK) -> Column:
     """Array of ``count`` tuple hashes; empty for a text without words."""
     bins = count * pick
-    dealt = F.transform(
-        elements(words_of(text), k),
-        lambda e: F.struct(
-            F.pmod(e["h"], F.lit(bins)).cast("int").alias("bin"), e["h"].alias("h"), e["pos"].alias("pos")
-        ),
-    )
+
+    def of_words(w: Column) -> Column:
+        dealt = F.transform(
+            elements(w, k),
+            lambda e: F.struct(
+                F.pmod(e["h"], F.lit(bins)).cast("int").alias("bin"), e["h"].alias("h"), e["pos"].alias("pos")
+            ),
+        )
+        return F.when(F.size(w) > 0, _let(F.array_sort(dealt), minima))
 
     def minima(s: Column) -> Column:
         firsts = F.filter(s, lambda e, i: (i == 0) | (e["bin"] != F.get(s, i - 1)["bin"]))
@@ -93,7 +96,7 @@ def tuples(text: Column, k: int = K, count: int = TUPLES, pick: int = PICK) -> C
 
         return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), one)
 
-    return F.coalesce(_let(F.array_sort(dealt), minima), F.array().cast("array<bigint>"))
+    return F.coalesce(_let(words_of(text), of_words), F.array().cast("array<bigint>"))
 
 
 def likeness(a: Column, b: Column) -> Column:

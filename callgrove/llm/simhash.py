@@ -30,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callgrove.llm.common import stored, table
@@ -70,16 +70,23 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
     return int(majority.view(np.uint64)[0])
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long with the same bits."""
+    """(doc_id, text_hash, fp): the fingerprint as a signed long with the same bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint_of(text.as_py()) for text in batch.column("text")]
             values = np.array(prints, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(values)], ["doc_id", "text_hash", "fp"]
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_type(docs, 'doc_id')}, fp long")
+    rows = docs.select("doc_id", text_hash().alias("text_hash"), "text")
+    return rows.mapInArrow(run, f"doc_id {_type(docs, 'doc_id')}, text_hash long, fp long")
 
 
 def _type(df: DataFrame, name: str) -> str:
@@ -208,16 +215,19 @@ def links(prints: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFrame:
     return found.unionByName(spokes)
 
 
-def near_duplicates(docs: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
+def _classed(docs: DataFrame, hot_members: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, fp) of every row, and (fp, root, component_id) of every fingerprint."""
     prints = stored(fingerprints(docs))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = connected_components(links(distinct, hot_members)).withColumnRenamed("node", "fp")
-    classed = cut(
-        distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    )
+    classed = cut(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     named = classed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = classed.join(named, "root").select("fp", "component_id")
+    return prints, classed.join(named, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFrame:
+    """(doc_id, fp, component_id) for every row of ``docs``."""
+    prints, classes = _classed(docs, hot_members)
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -225,36 +235,33 @@ def one_of_each(docs: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFrame:
     """Rows of ``docs`` with one document of each group: that of the smallest id.
 
     Where that id is on several rows, or the whole group has none, the row whose text has
-    the smallest hash stays; equal rows count once.
+    the smallest hash stays; rows equal in both count once.
     """
-    near = near_duplicates(docs, hot_members)
-    kept = near.where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi")
-    repeated = cut(first.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id"))
-    nameless = cut(near.where("component_id is null").select("fp").distinct())
-    if repeated.isEmpty() and nameless.isEmpty():
-        return first
-    columns = docs.columns
-    single = first.join(repeated, "doc_id", "left_anti")
-    several = _smallest(first.join(repeated, "doc_id", "left_semi"), columns, F.col("doc_id"))
-    none = docs.where("doc_id is null")
-    if nameless.isEmpty():
-        return single.unionByName(several)
-    # Groups without any id: link their rows through the fingerprints once more.
-    groups = near_duplicates(
-        none.withColumn("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))), hot_members
-    ).groupBy("component_id").agg(F.min("fp").alias("fp"))
-    rest = none.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rest = rest.join(groups.select(F.col("component_id").alias("_h"), "fp"), "_h").join(nameless, "fp", "left_semi")
-    return single.unionByName(several).unionByName(_smallest(rest, columns, F.col("_h")))
-
-
-def _smallest(rows: DataFrame, columns: list[str], key) -> DataFrame:
-    """One row for each key, that with the smallest text hash, ties by all columns."""
-    whole = F.struct(F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"), *columns)
-    return rows.groupBy(key.alias("_k")).agg(F.min(whole).alias("_r")).select(
-        *(F.col("_r")[name].alias(name) for name in columns)
+    prints, classes = _classed(docs, hot_members)
+    # Nulls sort last: a row without an id stays only if its group has no other.
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    picks = cut(
+        prints.join(classes.select("fp", "root"), "fp").groupBy("root").agg(F.min(rank).alias("r"))
+        .select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_hash"))
+    )
+    several = cut(
+        prints.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    )
+
+    def of(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        same = rows["doc_id"].eqNullSafe(keys["_id"]) & (F.xxhash64(F.coalesce(rows["text"], F.lit(""))) == keys["_hash"])
+        return rows.join(keys, same, how)
+
+    kept = of(docs, picks, "left_semi")
+    if several.isEmpty():
+        return kept
+    whole = of(kept, several, "left_semi")
+    once = whole.groupBy(whole["doc_id"].alias("_k"), text_hash().alias("_h")).agg(
+        F.min(F.struct(*docs.columns)).alias("_r")
     )
+    once = once.select(*(F.col("_r")[name].alias(name) for name in docs.columns))
+    return of(kept, several, "left_anti").unionByName(once)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
