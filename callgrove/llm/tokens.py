@@ -19,8 +19,13 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 #: A word with the one blank before it; else white space up to the last one before a word.
 BYTE_UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
+#: A word of letters that has only marks behind it. The pre-tokenizer cuts between the two
+#: (an apostrophe may begin a contraction, so it is no such mark), which lets units with
+#: different marks share the word. No special token is one word and marks behind it.
+WORD_AND_MARKS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+
 #: Units kept in one Python worker before its cache starts anew.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 1_000_000
 
 
 class Units:
@@ -42,14 +47,25 @@ class Units:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def parts(self, unit) -> tuple:
+        """Pieces of a unit that are encoded alone."""
+        found = WORD_AND_MARKS.fullmatch(unit)
+        return found.groups() if found else (unit,)
+
     def learn(self, units: list) -> None:
         known = self.known
-        new = [u for u in set(units) if u not in known]
-        if new:
-            if len(known) > CACHE_UNITS:
-                known.clear()
-                new = list(set(units))
-            known.update(zip(new, self.encode_new(new), strict=True))
+        new = [u for u in dict.fromkeys(units) if u not in known]
+        if not new:
+            return
+        if len(known) > CACHE_UNITS:
+            known.clear()
+            new = list(dict.fromkeys(units))
+        split = [self.parts(u) for u in new]
+        alone = list(dict.fromkeys(p for parts in split for p in parts if p not in known))
+        known.update(zip(alone, self.encode_new(alone), strict=True))
+        for unit, parts in zip(new, split, strict=True):
+            if len(parts) > 1:
+                known[unit] = b"".join([known[p] for p in parts])
 
     def joined(self, units: list) -> bytes:
         try:
@@ -79,6 +95,11 @@ class ByteUnits(Units):
 class WordUnits(Units):
     """BPE with word ends: white space is dropped, so any ASCII white space separates units."""
 
+    def parts(self, unit: bytes) -> tuple:
+        found = WORD_AND_MARKS.fullmatch(unit.decode("utf-8"))
+        # The normalizer lowers letters one by one, so capitals share the word too.
+        return tuple(p.lower().encode("utf-8") for p in found.groups()) if found else (unit,)
+
     def ids(self, text: str) -> bytes:
         return self.joined(text.encode("utf-8").split())
 
