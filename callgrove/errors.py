@@ -11,6 +11,14 @@ class UnknownMetricError(CallgroveError, ValueError):
     """No experiment of the collection has the requested metric."""
 
 
+class UnknownExperimentError(CallgroveError, ValueError):
+    """An operand is an experiment that the collection does not have."""
+
+
+class KeyCheckError(CallgroveError, ValueError):
+    """Facts refer to threads that their experiment does not have."""
+
+
 class TreeError(CallgroveError, ValueError):
     """Parent links of a call tree are dangling or cyclic."""
 

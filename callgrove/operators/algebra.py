@@ -11,14 +11,15 @@ operand lacks counts as 0.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callgrove.errors import SystemMismatchError
+from callgrove.errors import SystemMismatchError, UnknownExperimentError
 from callgrove.functions.columns import hash_id
 from callgrove.model import SystemDimension
 from callgrove.operators.tree import with_depth
@@ -104,10 +105,19 @@ def _from_groups(profile: Profile, groups: DataFrame) -> Operands:
     """
     groups = cut(groups)
     sizes = groups.groupBy("result_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    known = profile.experiments.select("experiment_id", F.lit(True).alias("_known")).distinct()
+    used = groups.join(sizes, "result_id").join(known, "experiment_id", "left")
     uses, seen = cut_and_observe(
-        groups.join(sizes, "result_id").select("experiment_id", "result_id", "ord", "n"),
+        used.select("experiment_id", "result_id", "ord", "n", "_known"),
         rows=F.count(F.lit(1)),
+        unknown=F.count_if(F.col("_known").isNull()),
+        example=F.min(F.when(F.col("_known").isNull(), F.col("experiment_id"))),
     )
+    if seen.get("unknown"):
+        raise UnknownExperimentError(
+            f"{seen['unknown']} operands are experiments that do not exist, e.g. {seen['example']}"
+        )
+    uses = uses.drop("_known")
     size = 64.0 * seen.get("rows", 0)
 
     def assign(table: str, spread: list[str]) -> DataFrame:
@@ -197,9 +207,14 @@ def _common_tree(tree: DataFrame, seed: int) -> DataFrame:
     )
 
 
+def _place_label() -> Column:
+    """Names of a location as text; a missing one shows, so that labels stay apart."""
+    return F.concat_ws("/", *(F.coalesce(c, F.lit("(none)")) for c in _PLACE))
+
+
 def _same_system_rows(locations: DataFrame) -> int:
     """Number of location rows, after checking that all operands have the same ones."""
-    place = F.concat_ws("/", *_PLACE)
+    place = _place_label()
     uneven = F.col("_has") != F.col("_n")
     rows, wrong, example = (
         locations.groupBy("result_id", *_PLACE)
@@ -224,11 +239,16 @@ def _same_system_rows(locations: DataFrame) -> int:
 
 
 def _first_ids(locations: DataFrame) -> DataFrame:
-    """Add ``place``, the thread id that a location has in the first operand."""
-    ids = locations.groupBy("result_id", *_PLACE).agg(
+    """Add ``place``, the thread id that a location has in the first operand.
+
+    A location may lack some of its names; nulls are names like others.
+    """
+    keys = ["result_id", *_PLACE]
+    ids = locations.groupBy(*(F.col(c).alias(f"_{c}") for c in keys)).agg(
         F.min(F.struct("ord", "thread_id"))["thread_id"].alias("place")
     )
-    return locations.join(ids, ["result_id", *_PLACE])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return locations.join(ids, same).drop(*(f"_{c}" for c in keys))
 
 
 def _move(facts: DataFrame, places: DataFrame, rows: int) -> DataFrame:
@@ -389,7 +409,9 @@ def mean_groups(
     system_dim: SystemDimension = SystemDimension.KEEP,
 ) -> Profile:
     """A mean per ``result_id`` over the rows ``result_id, experiment_id``."""
-    ordered = groups.withColumn("ord", F.col("experiment_id"))
+    # The same experiment may be there more than once, each counts as an operand.
+    running = F.row_number().over(Window.partitionBy("result_id").orderBy("experiment_id"))
+    ordered = groups.withColumn("ord", running.cast("long"))
     return _mean(_from_groups(profile, ordered), system_dim, None)
 
 
@@ -469,7 +491,9 @@ def _cmp(operands: Operands, rel_tol: float) -> CompareResult:
     ]
     left, right = F.col("left"), F.col("right")
     slack = F.greatest(F.abs(left), F.abs(right)) * F.lit(rel_tol)
-    unequal = ~left.eqNullSafe(right) & (F.abs(left - right) > slack)
+    # Values that are not finite are equal to themselves only.
+    finite = (F.abs(left) < F.lit(math.inf)) & (F.abs(right) < F.lit(math.inf))
+    unequal = ~left.eqNullSafe(right) & ~(finite & (F.abs(left - right) <= slack))
     cells = (
         aligned.facts.groupBy(*_CELL)
         .agg(sides[0].alias("left"), sides[1].alias("right"))
@@ -483,7 +507,7 @@ def _cmp(operands: Operands, rel_tol: float) -> CompareResult:
     places = aligned.locations.select(
         F.col("experiment_id").alias("result_id"),
         "thread_id",
-        F.concat_ws("/", *_PLACE).alias("_place"),
+        _place_label().alias("_place"),
     )
     values = (
         cells.join(paths, ["result_id", "cnode_id"])
@@ -496,7 +520,7 @@ def _cmp(operands: Operands, rel_tol: float) -> CompareResult:
         values.select(columns)
         .unionByName(_presence(operands.metrics, "metric", F.col("metric")).select(columns))
         .unionByName(
-            _presence(operands.locations, "location", F.concat_ws("/", *_PLACE)).select(columns)
+            _presence(operands.locations, "location", _place_label()).select(columns)
         )
         .unionByName(
             _presence(operands.tree, "cnode", F.array_join("names", "/")).select(columns)

@@ -50,14 +50,17 @@ def over_threads(facts: DataFrame) -> DataFrame:
     return facts.groupBy("experiment_id", "metric", "cnode_id").agg(F.sum("value").alias("value"))
 
 
+def of_known_nodes(profile: Profile, cells: DataFrame, spread: Sequence[str]) -> DataFrame:
+    """Rows whose node is in the tree.  Values of unknown nodes count nowhere."""
+    known = profile.tree.select(*_NODE)
+    size = profile.tree_size.bytes(32)
+    return lookup(cells, known, _NODE, table_bytes=size, spread=spread, how="left_semi")
+
+
 def metric_values(profile: Profile, metric: str) -> DataFrame:
     """Exclusive values of one metric; values of unknown nodes are dropped."""
     facts = of_metrics(profile, [metric]).select(*_NODE, "thread_id", "value")
-    known = profile.tree.select(*_NODE)
-    size = profile.tree_size.bytes(32)
-    return lookup(
-        facts, known, _NODE, table_bytes=size, spread=["thread_id"], how="left_semi"
-    )
+    return of_known_nodes(profile, facts, ["thread_id"])
 
 
 def dump(
@@ -88,6 +91,8 @@ def dump(
         cells = facts.select("experiment_id", "metric", "cnode_id", "thread_id", "value")
     if z == "incl":
         cells = roll_up(cells, profile.tree, profile.tree_size, onto=chosen_nodes)
+    else:
+        cells = of_known_nodes(profile, cells, ["metric"])
     if "thread_id" not in cells.columns:
         cells = cells.withColumn("thread_id", F.lit(ALL_THREADS).cast("long"))
     return cells.select("experiment_id", "cnode_id", "thread_id", "metric", "value")
@@ -99,7 +104,7 @@ def node_values(profile: Profile, metric: str, inclusive: bool) -> DataFrame:
     Nodes without values count as 0.  Percentages refer to the inclusive total of
     the experiment.  Experiments that do not have the metric are left out.
     """
-    own = over_threads(of_metrics(profile, [metric]))
+    own = of_known_nodes(profile, over_threads(of_metrics(profile, [metric])), ["metric"])
     values = roll_up(own, profile.tree, profile.tree_size) if inclusive else own
     totals = own.groupBy("experiment_id").agg(F.sum("value").alias("_total"))
     measured = profile.metrics.where(F.col("metric") == metric).select("experiment_id")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callgrove.plans.lineage import cut_and_observe
+from callgrove.plans.lineage import cut, cut_and_observe
 
 SPLIT = ["report", "file", "block"]
 
@@ -29,6 +29,15 @@ def read_lines(spark: SparkSession, path: str, *, parts: bool = False) -> DataFr
     )
 
 
+def kept(lines: DataFrame) -> DataFrame:
+    """Parsed lines, stored once with their place.
+
+    Borders of splits follow session settings that may change between a load and the use
+    of its rows.  Headers, counts and row numbers all come from this one copy.
+    """
+    return cut(lines)
+
+
 def list_reports(spark: SparkSession, path: str, *, parts: bool = False) -> DataFrame:
     """Every report, also those without a line, which a scan would skip.
 
@@ -54,8 +63,8 @@ def experiment_of(report: Column) -> Column:
 def summarize_splits(lines: DataFrame, **aggregates: Column) -> tuple[DataFrame, float]:
     """A row per split with the given aggregates of its lines, and the table's size.
 
-    This is one pass over the text.  The result is kept, so judging the reports and
-    numbering their rows does not read the text again.
+    ``lines`` are :func:`kept`.  The result is stored too, so judging the reports and
+    numbering their rows does not read the lines again.
     """
     splits = lines.groupBy(*SPLIT).agg(
         *(aggregate.alias(name) for name, aggregate in aggregates.items())
@@ -94,7 +103,7 @@ def strip(text: Column) -> Column:
 def csv_cells(line: Column) -> Column:
     """Cells of a comma-separated line; quotes protect commas and double themselves."""
     quoted = F.regexp_extract_all(
-        F.concat(F.lit(","), line), F.lit(r',\s*("(?:[^"]|"")*"|[^,]*)'), F.lit(1)
+        F.concat(F.lit(","), line), F.lit(r',\s*("[^"]*+(?:""[^"]*+)*+"|[^,]*)'), F.lit(1)
     )
     unquoted = F.transform(
         quoted,

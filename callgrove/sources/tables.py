@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callgrove import model
+from callgrove.errors import KeyCheckError
 
 if TYPE_CHECKING:
     from callgrove.profile import Profile
@@ -54,9 +55,13 @@ def _same_type(found: T.DataType, wanted: T.DataType) -> bool:
 def write(profile: Profile, path: str) -> None:
     """Store the tables in new folders below ``path``; existing ones are an error.
 
+    Facts of a thread without a location are refused: no operation could place them.
+    Facts of unknown nodes may stay, all operations leave them out.
+
     Rows are rebalanced on the partition columns: small experiments do not end up
     in many files, and one that holds a large share of all rows is split over tasks.
     """
+    _refuse_unknown_threads(profile)
     frames = {
         "experiments": profile.experiments,
         "metrics": profile.metrics,
@@ -72,3 +77,16 @@ def write(profile: Profile, path: str) -> None:
         if keys:
             writer = writer.partitionBy(*keys)
         writer.parquet(f"{path.rstrip('/')}/{name}")
+
+
+def _refuse_unknown_threads(profile: Profile) -> None:
+    """One job: threads are few, so they are aggregated before they meet the locations."""
+    keys = ["experiment_id", "thread_id"]
+    used = profile.facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    unknown = used.join(profile.locations.select(*keys), keys, "left_anti")
+    n, example = unknown.agg(F.coalesce(F.sum("n"), F.lit(0)), F.min(F.struct(*keys))).first()
+    if n:
+        raise KeyCheckError(
+            f"{n} facts of threads without a location, e.g. thread {example.thread_id}"
+            f" of experiment {example.experiment_id}"
+        )
