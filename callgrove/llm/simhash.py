@@ -231,21 +231,20 @@ def near_duplicates(docs: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFram
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFrame:
-    """Rows of ``docs`` with one document of each group: that of the smallest id.
+def keep_one(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with one of each group; ``rooted`` is (doc_id, text_hash, root) by row.
 
-    Where that id is on several rows, or the whole group has none, the row whose text has
-    the smallest hash stays; rows equal in both count once.
+    The smallest id stays. Where it is on several rows, or the whole group has none, the row
+    whose text has the smallest hash stays; rows equal in both count once.
     """
-    prints, classes = _classed(docs, hot_members)
     # Nulls sort last: a row without an id stays only if its group has no other.
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     picks = cut(
-        prints.join(classes.select("fp", "root"), "fp").groupBy("root").agg(F.min(rank).alias("r"))
+        rooted.groupBy("root").agg(F.min(rank).alias("r"))
         .select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_hash"))
     )
     several = cut(
-        prints.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        rooted.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     )
 
@@ -264,6 +263,12 @@ def one_of_each(docs: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFrame:
     return of(kept, several, "left_anti").unionByName(once)
 
 
+def one_of_each(docs: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFrame:
+    """Rows of ``docs`` with one document of each group: that of :func:`keep_one`."""
+    prints, classes = _classed(docs, hot_members)
+    return keep_one(docs, prints.join(classes.select("fp", "root"), "fp"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from callgrove.llm import bpe, chat, common, html, ngrams, omh, packing, quality, rules, shards, simhash, tokens, toxicity
+from callgrove.llm import bpe, chat, common, html, near_copies, ngrams, omh, packing, quality, rules, shards, simhash, tokens, toxicity
 from callgrove.plans.lineage import shared_dir
 
 LONG = "the quick brown fox jumps over the lazy dog while it rains on hills " * 900
@@ -313,6 +313,74 @@ def test_near_duplicates(docs, none):
     assert simhash.one_of_each(none).count() == 0
 
 
+# -------------------------------------------------------------- near copies
+
+
+def _shingles(text):
+    words = near_copies.lowered_words(text)
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def _similar(a, b):
+    a, b = _shingles(a), _shingles(b)
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def _edited_copies():
+    """Originals with copies of one to three or forty changed words, and texts of the same words in other orders."""
+    random = np.random.default_rng(11)
+    vocabulary = [f"word{i}" for i in range(3000)]
+    rows = []
+    for _ in range(12):
+        base = list(random.choice(vocabulary, 300))
+        rows.append(" ".join(base))
+        for changes in (1, 2, 3, 40):
+            copy = list(base)
+            for at in random.integers(0, 300, changes):
+                copy[at] = str(random.choice(vocabulary))
+            rows.append(" ".join(copy).upper())
+        rows.append(" ".join(random.permutation(base)))
+    return rows + ["", " ", None, "a b", "A  b", "a c", rows[0]]
+
+
+@pytest.mark.parametrize("hot", [near_copies.HOT_MEMBERS, 2])
+def test_near_copies_match_brute_force(spark, hot):
+    texts = _edited_copies()
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, root string")
+    got = near_copies.one_of_each(docs, hot_members=hot)
+    assert got.columns == docs.columns
+    smallest = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if smallest[i] != smallest[j] and _similar(texts[i], texts[j]):
+                low, high = sorted((smallest[i], smallest[j]))
+                smallest = [low if x == high else x for x in smallest]
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(smallest))
+
+
+def test_near_copies_recall_near_the_limit(spark):
+    random = np.random.default_rng(5)
+    rows = []
+    for i in range(0, 600, 2):
+        base = [f"w{i}x{k}" for k in random.integers(0, 2000, 300)]
+        copy = list(base)
+        for at in random.choice(300, 6, replace=False):
+            copy[at] = f"new{at}"
+        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
+    linked = sum(_similar(rows[i][1], rows[i + 1][1]) for i in range(0, 600, 2))
+    assert linked > 250
+    dropped = 600 - near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    assert 0.97 * linked <= dropped <= linked
+
+
+def test_near_copies_of_odd_rows(spark, docs, none):
+    assert near_copies.one_of_each(none).count() == 0
+    rows = [(None, "one two three"), (None, "one two three"), (5, "one two three"), (None, None), (None, ""), (7, "x")]
+    got = near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in got.collect())
+    assert kept == [(0, ""), (5, "one two three"), (7, "x")]
+
+
 # ------------------------------------------------------------------ rules
 
 
