@@ -160,7 +160,11 @@ def keys(prints: DataFrame) -> DataFrame:
 
 
 def balls(prints: DataFrame) -> DataFrame:
-    """(word, fp, one): all words within two bits of each fingerprint, ``one`` if within one."""
+    """(word, fp, one): all words within two bits of each fingerprint, ``one`` if within one.
+
+    A column ``seed`` of ``prints`` is carried along.
+    """
+    seeded = "seed" in prints.columns
     bits = [1 << i for i in range(64)]
     ones = np.array([0, *bits], np.uint64)
     twos = np.array([a | b for k, a in enumerate(bits) for b in bits[k + 1 :]], np.uint64)
@@ -173,16 +177,20 @@ def balls(prints: DataFrame) -> DataFrame:
             for start in range(0, len(signed), 64):
                 part = signed[start : start + 64]
                 words = part.view(np.uint64)[:, None] ^ flips
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(words.ravel().view(np.int64)),
-                        pa.array(np.repeat(part, len(flips))),
-                        pa.array(np.tile(inner, len(part))),
-                    ],
-                    ["word", "fp", "one"],
-                )
-
-    return prints.select("fp").mapInArrow(run, "word long, fp long, one boolean")
+                columns = [
+                    pa.array(words.ravel().view(np.int64)),
+                    pa.array(np.repeat(part, len(flips))),
+                    pa.array(np.tile(inner, len(part))),
+                ]
+                names = ["word", "fp", "one"]
+                if seeded:
+                    seeds = batch.column("seed").to_numpy(zero_copy_only=False)[start : start + 64]
+                    columns.append(pa.array(np.repeat(seeds, len(flips)).astype(np.int32)))
+                    names.append("seed")
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    kind = "word long, fp long, one boolean" + ", seed int" * seeded
+    return prints.select("fp", *["seed"] * seeded).mapInArrow(run, kind)
 
 
 def links(prints: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFrame:
