@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -57,8 +58,10 @@ def training_rows(
     rows = joined.select("doc_id", F.col("y").cast("int").alias("y"), "text").mapInArrow(
         run, f"doc_id {kind}, y int, f binary"
     )
-    found = sorted(rows.toLocalIterator(), key=lambda r: (r["doc_id"], bytes(r["f"])))
-    return [(r["y"], np.frombuffer(bytes(r["f"]), np.int32)) for r in found]
+    # The features are the driver's largest data: neither sorting nor reading copies them.
+    found = [(r["doc_id"], hashlib.md5(r["f"]).digest(), r["y"], r["f"]) for r in rows.toLocalIterator()]
+    found.sort(key=lambda r: r[:3])
+    return [(y, np.frombuffer(f, np.int32)) for _, _, y, f in found]
 
 
 def scored(docs: DataFrame, score: Callable[[str], float]) -> DataFrame:

@@ -223,9 +223,13 @@ def pieces_of(plan: Plan, n: int, rest: int, rank: int, task: int, full_before:
 
 
 def packed(
-    docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, window: int = WINDOW
+    docs: DataFrame,
+    tokenizer: str = TOKENIZER,
+    end_id: int = END_ID,
+    window: int = WINDOW,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """One row for each piece, with its ids (little-endian unsigned 32-bit)."""
+    """One row for each piece, with its ids (little-endian unsigned 32-bit) if ``with_ids``."""
     spark = docs.sparkSession
     code_on_workers(spark)
     tokens = stored(tokenized(docs, tokenizer, end_id, window))
@@ -240,6 +244,7 @@ def packed(
         .select("task", "row", (F.col("rank") + F.col("_base")).alias("_rank"))
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "start", "length", "sequence_id", "offset", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,25 +260,28 @@ def packed(
                         of.append(k)
                         for values, value in zip(cols, piece, strict=True):
                             values.append(value)
-                        ids.append(wide[piece[0] : piece[0] + piece[1]].tobytes())
-                        crcs.append(zlib.crc32(ids[-1]))
+                        own = wide[piece[0] : piece[0] + piece[1]].tobytes()
+                        crcs.append(zlib.crc32(own))
                         totals.append(place[0])
+                        if with_ids:
+                            ids.append(own)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(pa.array(of, pa.int64())),
                         *(pa.array(values, pa.int64()) for values in cols),
-                        pa.array(crcs, pa.int64()), pa.array(totals, pa.int64()), pa.array(ids, pa.binary()),
+                        pa.array(crcs, pa.int64()), pa.array(totals, pa.int64()),
+                        *([pa.array(ids, pa.binary())] if with_ids else []),
                     ],
-                    ["doc_id", "start", "length", "sequence_id", "offset", "ids_crc32", "doc_tokens", "ids"],
+                    names,
                 )
 
     joined = tokens.select("doc_id", "task", "row", "n", "rest", "full_before", "ids").join(placed, ["task", "row"])
     return joined.select("doc_id", "n", "rest", "_rank", "task", "full_before", "ids").mapInArrow(
         run,
         f"doc_id {kind}, start long, length long, sequence_id long, offset long, ids_crc32 long,"
-        " doc_tokens long, ids binary",
+        " doc_tokens long" + ", ids binary" * with_ids,
     )
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents")).drop("ids")
+    return packed(table(spark, sf_dir, "documents"), with_ids=False)

@@ -59,14 +59,16 @@ def fit_rows(rows: list[tuple[int, np.ndarray]], share: float, epochs: int = 8,
     layer = np.zeros((2, WIDTH), np.float32)
     bias = np.zeros(2, np.float32)
     cost = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    counted = [np.unique(found, return_counts=True) for _, found in rows]
+    counted = []
+    for _, features_ in rows:
+        found, times = np.unique(features_, return_counts=True)
+        counted.append((found, (times / max(1, len(features_))).astype(np.float32)))
     total, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in random.permutation(len(rows)):
             step = rate * (1 - done / total)
             done += 1
-            found, times = counted[i]
-            parts = (times / max(1, times.sum())).astype(np.float32)
+            found, parts = counted[i]
             hidden = parts @ vectors[found]
             logits = layer @ hidden + bias
             softmax = np.exp(logits - logits.max())
