@@ -373,6 +373,24 @@ def test_near_copies_recall_near_the_limit(spark):
     assert 0.97 * linked <= dropped <= linked
 
 
+def test_near_copies_of_a_star(spark):
+    """2000 copies of one text, each near it but mostly below 0.8 to each other."""
+    random = np.random.default_rng(3)
+    base = [f"w{k}" for k in random.integers(0, 5000, 400)]
+    rows = []
+    for i in range(2000):
+        copy = list(base)
+        for at in random.choice(400, 8, replace=False):
+            copy[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    original = " ".join(base)
+    near = {i for i, text in rows if _similar(original, text)}
+    assert len(near) > 1900 and sum(_similar(rows[0][1], text) for _, text in rows) < 10
+    docs = spark.createDataFrame([*rows, (5000, original)], "doc_id long, text string")
+    kept = {r["doc_id"] for r in near_copies.one_of_each(docs).collect()}
+    assert len(kept & near) <= 2 and 5000 not in kept
+
+
 def test_near_copies_of_odd_rows(spark, docs, none):
     assert near_copies.one_of_each(none).count() == 0
     rows = [(None, "one two three"), (None, "one two three"), (5, "one two three"), (None, None), (None, ""), (7, "x")]
