@@ -391,6 +391,24 @@ def test_near_copies_of_a_star(spark):
     assert len(kept & near) <= 2 and 5000 not in kept
 
 
+def test_near_copies_recall_under_crowded_keys(spark):
+    """Pairs near 0.8 in one group whose texts share two fifths of their words: every key counts as crowded."""
+    random = np.random.default_rng(6)
+    common_part = [f"c{k}" for k in random.integers(0, 2000, 200)]
+    rows = []
+    for i in range(0, 300, 2):
+        base = common_part + [f"w{i}x{k}" for k in random.integers(0, 2000, 300)]
+        copy = list(base)
+        for at in random.choice(np.arange(200, 500), 10, replace=False):
+            copy[at] = f"new{at}"
+        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
+    linked = sum(_similar(rows[i][1], rows[i + 1][1]) for i in range(0, 300, 2))
+    assert linked > 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dropped = 300 - near_copies.one_of_each(docs, hot_members=2).count()
+    assert 0.97 * linked <= dropped <= linked
+
+
 def test_near_copies_of_odd_rows(spark, docs, none):
     assert near_copies.one_of_each(none).count() == 0
     rows = [(None, "one two three"), (None, "one two three"), (5, "one two three"), (None, None), (None, ""), (7, "x")]
