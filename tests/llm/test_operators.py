@@ -409,6 +409,30 @@ def test_near_copies_recall_under_crowded_keys(spark):
     assert 0.97 * linked <= dropped <= linked
 
 
+def _long_edits(kind):
+    """Pairs of a text and the same with a passage appended, or without its end, near 0.8."""
+    random = np.random.default_rng(8)
+    rows = []
+    for i in range(0, 600, 2):
+        base = [f"w{k}" for k in random.integers(0, 20000, int(random.integers(60, 600)))]
+        share = random.uniform(0.16, 0.2)
+        if kind == "appended":
+            copy = base + [f"w{k}" for k in random.integers(0, 20000, int(share * len(base)))]
+        else:
+            copy = base[: int((1 - share) * len(base))]
+        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["appended", "truncated"])
+def test_near_copies_recall_of_long_edits(spark, kind):
+    rows = _long_edits(kind)
+    linked = sum(_similar(rows[i][1], rows[i + 1][1]) for i in range(0, 600, 2))
+    assert linked > 200
+    dropped = 600 - near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    assert 0.99 * linked <= dropped <= linked
+
+
 def test_near_copies_of_odd_rows(spark, docs, none):
     assert near_copies.one_of_each(none).count() == 0
     rows = [(None, "one two three"), (None, "one two three"), (5, "one two three"), (None, None), (None, ""), (7, "x")]
