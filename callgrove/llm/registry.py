@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from callgrove.llm import bpe, chat, html, merkle, omh, packing, quality, rules, shards, simhash, toxicity
+from callgrove.llm import bpe, chat, html, merkle, omh, packing, quality, rtree, rules, shards, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,10 +24,15 @@ def llm_queries() -> dict[str, Query]:
         html.op8_html,
         packing.op9_packing,
         shards.op10_shards,
+        rtree.op12_hard_negatives,
         merkle.op13_merkle,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_chat_format": chat.OP2_SQL, "op13_merkle": merkle.OP13_SQL}
+    return {
+        "op2_chat_format": chat.OP2_SQL,
+        "op12_hard_negatives": rtree.OP12_SQL,
+        "op13_merkle": merkle.OP13_SQL,
+    }
