@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from callgrove.llm import bpe, chat, html, merkle, omh, packing, quality, rtree, rules, shards, simhash, toxicity
+from callgrove.llm import bpe, chat, html, merkle, omh, packing, pii, quality, rtree, rules, shards, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,7 @@ def llm_queries() -> dict[str, Query]:
         html.op8_html,
         packing.op9_packing,
         shards.op10_shards,
+        pii.op11_pii,
         rtree.op12_hard_negatives,
         merkle.op13_merkle,
     ]
