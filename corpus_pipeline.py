@@ -3,6 +3,14 @@
 Every stage takes the documents that its predecessor kept. All but the last return the
 columns of documents; the last returns the pieces of the packed sequences. The classifiers
 learn from the labels of the whole documents table, whatever earlier stages removed.
+
+Nulls: a null text counts as empty in every stage; a null ``doc_id`` stays null, and of a
+group of near copies it is kept only if no other has an id. Empty texts are scored like
+others; texts without words share one fingerprint, so one of them stays. Texts are read
+whole at any length. Ties and repeated rows: equal texts get equal scores, so the first two
+stages keep or drop them together; of a group of near copies the smallest id stays, of equal
+ids the text with the smallest hash, and rows equal in both count once. An empty table gives
+no rows. Other columns are passed through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -11,7 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callgrove.llm import near_copies, packing, quality, toxicity
+from callgrove.llm import packing, quality, simhash, toxicity
 from callgrove.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,8 +40,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word similarity of 0.8), that of the smallest id."""
-    return near_copies.one_of_each(docs)
+    """One document of each group that fingerprints of 3-word shingles link at 3 or fewer bits."""
+    return simhash.one_of_each(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
