@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -39,29 +40,54 @@ def balanced_sample(labels: DataFrame, per_class: int) -> tuple[DataFrame, float
     return chosen[0].unionByName(chosen[1]), share
 
 
-def training_rows(
-    docs: DataFrame, sample: DataFrame, featurize: Callable[[str], np.ndarray]
-) -> list[tuple[int, np.ndarray]]:
-    """(label, features) of the sampled documents, in the order of their ids and texts."""
+Row = tuple[int, np.ndarray, np.ndarray]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def counted(features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct features and how often each occurs."""
+    found, times = np.unique(features, return_counts=True)
+    return found.astype(np.int32), times.astype(np.int32)
+
+
+def fitted(
+    docs: DataFrame,
+    sample: DataFrame,
+    featurize: Callable[[str], np.ndarray],
+    fit_rows: Callable[[list[Row]], Any],
+) -> Any:
+    """Model of the sampled documents, learned in one task; the driver gets the model alone.
+
+    An id that is on several rows counts once, with the least of its texts. Tasks turn texts
+    into counted features; one task takes all of them in the order of their ids, which the
+    sample bounds.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                found = featurize(batch.column("text")[i].as_py() or "").astype(np.int32)
+                found, times = counted(featurize(batch.column("text")[i].as_py() or ""))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, 1), batch.column("y").slice(i, 1), pa.array([found.tobytes()], pa.binary())],
-                    ["doc_id", "y", "f"],
-                )
+                    [
+                        batch.column("doc_id").slice(i, 1), batch.column("y").slice(i, 1),
+                        pa.array([found.tobytes()], pa.binary()), pa.array([times.tobytes()], pa.binary()),
+                    ],
+                    ["doc_id", "y", "found", "times"],
+                )
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [
+            (int(y), np.frombuffer(found, np.int32), np.frombuffer(times, np.int32))
+            for batch in batches
+            for y, found, times in zip(*(batch.column(c).to_pylist() for c in ("y", "found", "times")), strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_rows(rows))], pa.binary())], ["model"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = joined.select("doc_id", F.col("y").cast("int").alias("y"), "text").mapInArrow(
-        run, f"doc_id {kind}, y int, f binary"
-    )
-    # The features are the driver's largest data: neither sorting nor reading copies them.
-    found = [(r["doc_id"], hashlib.md5(r["f"]).digest(), r["y"], r["f"]) for r in rows.toLocalIterator()]
-    found.sort(key=lambda r: r[:3])
-    return [(y, np.frombuffer(f, np.int32)) for _, _, y, f in found]
+    once = joined.groupBy("doc_id").agg(F.min("y").cast("int").alias("y"), F.min("text").alias("text"))
+    rows = once.mapInArrow(count, f"doc_id {kind}, y int, found binary, times binary")
+    models = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(learn, "model binary").collect()
+    return pickle.loads(models[0]["model"]) if models else fit_rows([])
 
 
 def scored(docs: DataFrame, score: Callable[[str], float]) -> DataFrame:

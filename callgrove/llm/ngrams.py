@@ -47,8 +47,8 @@ def char_ngrams(text: str, sizes: tuple[int, ...], buckets: int) -> np.ndarray:
 def subwords(text: str, sizes: tuple[int, ...], buckets: int) -> np.ndarray:
     """Bucket of every word, of the n-grams inside it with its borders, and of word bigrams.
 
-    A bigram is hashed by its pattern, whether the word before is the same one: that
-    generalizes to words never seen.
+    A bigram counts by its pattern alone: bucket 1 if the word before is the same, else
+    bucket 0. No other n-gram is hashed into these two.
     """
     codes = code_points("\n" + text + "\n")
     space = (codes < 128) & _IS_SPACE[np.minimum(codes, 127)]
@@ -60,7 +60,7 @@ def subwords(text: str, sizes: tuple[int, ...], buckets: int) -> np.ndarray:
     bordered = codes.copy()
     bordered[space] = 32
     words = windows(bordered, starts - 1, ends + 1)
-    found = [words, (words[1:] == words[:-1]).astype(np.uint64)]
+    found = [words]
     next_end = np.zeros(len(codes) + 1, np.int64)
     next_end[starts - 1] = ends + 1
     limit = np.maximum.accumulate(next_end)
@@ -68,4 +68,5 @@ def subwords(text: str, sizes: tuple[int, ...], buckets: int) -> np.ndarray:
         at = np.arange(len(codes) - size + 1)
         at = at[at + size <= limit[at]]
         found.append(windows(bordered, at, at + size))
-    return (np.concatenate(found) % np.uint64(buckets)).astype(np.int32)
+    hashed = np.concatenate(found) % np.uint64(buckets - 2) + np.uint64(2)
+    return np.concatenate([words[1:] == words[:-1], hashed]).astype(np.int32)

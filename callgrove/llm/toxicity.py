@@ -8,8 +8,8 @@ rows among all labelled ones.
 
 Nulls: a null text counts as empty and gets the probability of no features. Labels that
 are null, not 0 or 1, or both for one id are not used. Without labels of both kinds every
-score is that share of label 1. Repeated rows are scored alike; an empty table gives no
-rows; columns other than ``doc_id`` and ``text`` are ignored.
+score is that share of label 1. Texts are read whole at any length. Repeated rows are scored
+alike; an id on several rows trains once. An empty table gives no rows; columns other than ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callgrove.llm.common import first_of_each, held_out, table
-from callgrove.llm.labelled import balanced_sample, kept_rows, labels_of, scored, training_rows
+from callgrove.llm.labelled import Row, balanced_sample, fitted, kept_rows, labels_of, scored
 from callgrove.llm.ngrams import char_ngrams
 
 BUCKETS = 1 << 18
@@ -56,14 +56,14 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def fit_rows(rows: list[tuple[int, np.ndarray]], share: float, epochs: int = 12) -> Model:
+def fit_rows(rows: list[Row], share: float, epochs: int = 12) -> Model:
     """Log-count ratios, then AdaGrad steps of the regression on the scaled features."""
-    y = np.array([label for label, _ in rows])
+    y = np.array([label for label, _, _ in rows])
     if len(rows) == 0 or y.min() == y.max():
         bounded = min(max(share, 1e-4), 1 - 1e-4)
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(bounded / (1 - bounded))))
     counts = np.zeros((2, BUCKETS))
-    for label, found in rows:
+    for label, found, _ in rows:
         counts[label, found] += 1
     smoothed = counts + 0.5
     smoothed /= smoothed.sum(axis=1, keepdims=True)
@@ -76,7 +76,7 @@ def fit_rows(rows: list[tuple[int, np.ndarray]], share: float, epochs: int = 12)
     cost = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            label, found = rows[i]
+            label, found, _ = rows[i]
             scale = ratio[found]
             z = bias + float((weights[found] * scale).sum(dtype=np.float64))
             error = cost[i] * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label)
@@ -92,8 +92,8 @@ def fit_rows(rows: list[tuple[int, np.ndarray]], share: float, epochs: int = 12)
 def fit(spark: SparkSession, sf_dir: str, per_class: int = PER_CLASS) -> Model:
     labels = labels_of(spark, sf_dir, "toxic", FOLDS, HELD_OUT)
     sample, share = balanced_sample(labels, per_class)
-    rows = training_rows(table(spark, sf_dir, "documents"), sample, features)
-    return fit_rows(rows, share)
+    docs = table(spark, sf_dir, "documents")
+    return fitted(docs, sample, features, lambda rows: fit_rows(rows, share))
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
