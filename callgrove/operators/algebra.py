@@ -12,7 +12,7 @@ operand lacks counts as 0.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
 
@@ -33,6 +33,8 @@ _OPERAND = ["result_id", "ord"]
 _PLACE = ["machine", "node", "process", "thread"]
 _CELL = ["result_id", "metric", "cnode_id", "thread_id"]
 _SEEDS = 8
+#: Most operands whose experiment ids are listed in a partition filter.
+_LISTED_IDS = 1024
 
 
 @dataclass(frozen=True)
@@ -76,6 +78,8 @@ def _from_profiles(profiles: tuple[Profile, ...]) -> Operands:
     Pinned profiles are combined whatever their ids; otherwise each experiment is
     combined with the experiments of the same id.
     """
+    for profile in profiles:
+        profile.check_threads()
     if all(p.pinned for p in profiles):
         result = F.lit(profiles[0].experiment_id).cast("long")
     else:
@@ -112,17 +116,29 @@ def _from_groups(profile: Profile, groups: DataFrame) -> Operands:
         rows=F.count(F.lit(1)),
         unknown=F.count_if(F.col("_known").isNull()),
         example=F.min(F.when(F.col("_known").isNull(), F.col("experiment_id"))),
+        low=F.min("experiment_id"),
+        high=F.max("experiment_id"),
     )
     if seen.get("unknown"):
         raise UnknownExperimentError(
             f"{seen['unknown']} operands are experiments that do not exist, e.g. {seen['example']}"
         )
     uses = uses.drop("_known")
-    size = 64.0 * seen.get("rows", 0)
+    rows = seen.get("rows", 0)
+    # Folders of other experiments are not read: a list of ids where it is short, else their range.
+    part_of = F.col("experiment_id").between(seen.get("low"), seen.get("high"))
+    if rows <= _LISTED_IDS:
+        listed = [row.experiment_id for row in uses.select("experiment_id").distinct().collect()]
+        part_of = F.col("experiment_id").isin(listed)
+    profile.check_threads()
 
     def assign(table: str, spread: list[str]) -> DataFrame:
         used = lookup(
-            _table(profile, table), uses, ["experiment_id"], table_bytes=size, spread=spread
+            _table(profile, table).where(part_of),
+            uses,
+            ["experiment_id"],
+            table_bytes=64.0 * rows,
+            spread=spread,
         )
         return used.drop("experiment_id")
 
@@ -143,10 +159,29 @@ def _table(profile: Profile, name: str) -> DataFrame:
 
 
 def _key_id(keys: Sequence[str], seed: int) -> Column:
-    return hash_id(F.lit(seed), *keys)
+    """Hash of the keys; it also tells which of them are null, as a hash passes over nulls."""
+    return hash_id(F.lit(seed), *keys, *(F.isnull(k) for k in keys))
 
 
-def _hashed(table: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+def _path_id(names: Column, seed: int) -> Column:
+    """Id of a path of names: each step hashes the id above it and its name."""
+    return F.aggregate(names, F.lit(seed).cast("long"), lambda above, name: hash_id(above, name))
+
+
+def _path_ids(names: Column, seed: int) -> Column:
+    """Ids of all prefixes of a path, the path itself last, in one pass."""
+    return F.aggregate(
+        names,
+        F.array().cast("array<bigint>"),
+        lambda ids, name: F.array_append(
+            ids, hash_id(F.coalesce(F.try_element_at(ids, F.lit(-1)), F.lit(seed).cast("long")), name)
+        ),
+    )
+
+
+def _hashed(
+    table: DataFrame, keys: Sequence[str], id_of: Callable[[int], Column]
+) -> tuple[int, int]:
     """Seed under which different keys of a result have different ids, and the rows.
 
     Ids are 63-bit hashes of what they stand for, so they need no numbering and stay
@@ -156,14 +191,14 @@ def _hashed(table: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     key = F.struct(*keys)
     for seed in range(_SEEDS):
         clashes, rows = (
-            table.groupBy("result_id", _key_id(keys, seed).alias("_id"))
+            table.groupBy("result_id", id_of(seed).alias("_id"))
             .agg(
                 F.min(key).alias("_low"),
                 F.max(key).alias("_high"),
                 F.count(F.lit(1)).alias("_rows"),
             )
             .agg(
-                F.count_if(F.col("_low") != F.col("_high")),
+                F.count_if(~F.col("_low").eqNullSafe(F.col("_high"))),
                 F.coalesce(F.sum("_rows"), F.lit(0)),
             )
             .first()
@@ -178,10 +213,7 @@ def _common_tree(tree: DataFrame, seed: int) -> DataFrame:
     first = F.min_by(
         F.struct("region_name", "file", "line", "path_class"), F.struct("ord", "cnode_id")
     )
-    names = F.col("names")
-    prefixes = F.transform(
-        F.sequence(F.lit(1), F.size("names")), lambda k: hash_id(F.lit(seed), F.slice(names, F.lit(1), k))
-    )
+    prefixes = _path_ids(F.col("names"), seed)
     merged = tree.groupBy("result_id", "names").agg(first.alias("_first"))
     merged = merged.select(
         F.col("result_id").alias("experiment_id"),
@@ -291,15 +323,15 @@ def _align(
         facts = _move(operands.facts, places, rows)
     else:
         keys = _PLACE if system_dim is SystemDimension.KEEP else _PLACE[:3]
-        seed, rows = _hashed(operands.locations, keys)
+        seed, rows = _hashed(operands.locations, keys, lambda s: _key_id(keys, s))
         places = operands.locations.withColumn("place", _key_id(keys, seed))
         locations = _location_rows(places, keys)
         facts = _move(operands.facts, places, rows)
         if keys != _PLACE:
             facts = _sum_places(facts, "thread_id")
-    seed, rows = _hashed(operands.tree, ["names"])
+    seed, rows = _hashed(operands.tree, ["names"], lambda s: _path_id(F.col("names"), s))
     nodes = operands.tree.select(
-        *_OPERAND, "cnode_id", _key_id(["names"], seed).alias("_path")
+        *_OPERAND, "cnode_id", _path_id(F.col("names"), seed).alias("_path")
     )
     placed = lookup(
         facts,
@@ -341,7 +373,7 @@ def _result(operands: Operands, aligned: Aligned, value: Column, pinned: int | N
         .distinct()
         .withColumn("wallclock_time", F.lit(None).cast("double"))
     )
-    return Profile(
+    result = Profile(
         experiments,
         _combined_metrics(operands.metrics),
         aligned.locations,
@@ -349,6 +381,9 @@ def _result(operands: Operands, aligned: Aligned, value: Column, pinned: int | N
         facts.select("experiment_id", "metric", "cnode_id", "thread_id", "value"),
         experiment_id=pinned,
     )
+    # Its facts come from the operands' locations.
+    result._threads_checked = True
+    return result
 
 
 # Difference
@@ -473,13 +508,17 @@ def cmp_pairs(profile: Profile, pairs: DataFrame, *, rel_tol: float = 0.0) -> Co
     return _cmp(_from_groups(profile, pair_groups(pairs)), rel_tol)
 
 
-def _presence(table: DataFrame, kind: str, item: Column) -> DataFrame:
-    """Members of a dimension that only one of the two operands has."""
+def _presence(table: DataFrame, kind: str, keys: Sequence[str], item: Column) -> DataFrame:
+    """Members of a dimension that only one of the two operands has.
+
+    Members are told apart by their key columns; ``item`` is only what they are called.
+    """
     has = [F.max((F.col("ord") == i).cast("double")) for i in (0, 1)]
     return (
-        table.groupBy("result_id", item.alias("item"))
+        table.groupBy("result_id", *keys)
         .agg(has[0].alias("left"), has[1].alias("right"))
         .where(F.col("left") != F.col("right"))
+        .withColumn("item", item)
         .withColumn("kind", F.lit(kind))
     )
 
@@ -499,42 +538,43 @@ def _cmp(operands: Operands, rel_tol: float) -> CompareResult:
         .agg(sides[0].alias("left"), sides[1].alias("right"))
         .where(unequal)
     )
+    presence = [
+        _presence(operands.metrics, "metric", ["metric"], F.col("metric")),
+        _presence(operands.locations, "location", _PLACE, _place_label()),
+        _presence(operands.tree, "cnode", ["names"], F.array_join("names", "/")),
+    ]
+    # The summary counts rows; names are attached to the details alone.
+    counted = cells.select("result_id")
+    for rows in presence:
+        counted = counted.unionByName(rows.select("result_id"))
+    found = counted.groupBy("result_id").agg(F.count(F.lit(1)).alias("_found"))
+    summary = (
+        operands.metrics.select("result_id")
+        .distinct()
+        .join(found, "result_id", "left")
+        .select(
+            F.col("result_id").alias("experiment_id"),
+            F.col("_found").isNull().alias("equal"),
+            F.coalesce("_found", F.lit(0).cast("long")).alias("n_diff"),
+        )
+    )
+
     paths = aligned.tree.select(
         F.col("experiment_id").alias("result_id"),
         "cnode_id",
         F.array_join("names", "/").alias("_path"),
     )
     places = aligned.locations.select(
-        F.col("experiment_id").alias("result_id"),
-        "thread_id",
-        _place_label().alias("_place"),
+        F.col("experiment_id").alias("result_id"), "thread_id", _place_label().alias("_place")
     )
-    values = (
+    columns = ["result_id", "kind", "item", "left", "right"]
+    details = (
         cells.join(paths, ["result_id", "cnode_id"])
         .join(places, ["result_id", "thread_id"])
         .withColumn("item", F.concat_ws(" @ ", "metric", "_path", "_place"))
         .withColumn("kind", F.lit("value"))
+        .select(columns)
     )
-    columns = ["result_id", "kind", "item", "left", "right"]
-    details = (
-        values.select(columns)
-        .unionByName(_presence(operands.metrics, "metric", F.col("metric")).select(columns))
-        .unionByName(
-            _presence(operands.locations, "location", _place_label()).select(columns)
-        )
-        .unionByName(
-            _presence(operands.tree, "cnode", F.array_join("names", "/")).select(columns)
-        )
-    )
-    found = details.groupBy("result_id").agg(F.count(F.lit(1)).alias("_found"))
-    summary = (
-        operands.metrics.select("result_id")
-        .distinct()
-        .join(found, "result_id", "left")
-        .select(
-            F.col("result_id").alias("experiment_id"),
-            F.col("_found").isNull().alias("equal"),
-            F.coalesce("_found", F.lit(0).cast("long")).alias("n_diff"),
-        )
-    )
+    for rows in presence:
+        details = details.unionByName(rows.select(columns))
     return CompareResult(summary, details.withColumnRenamed("result_id", "experiment_id"))

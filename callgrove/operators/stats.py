@@ -36,6 +36,7 @@ def routine_stats(
     1 for the sample variance and 0 for the population variance.  Only routines in
     ``routines`` are kept; ``None`` or an empty sequence keeps all.
     """
+    profile.check_threads()
     per_thread = _per_thread(profile, metrics, routines)
     if quartiles:
         # Ranking keeps the rows, so the facts are read once for all statistics.

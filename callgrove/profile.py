@@ -39,6 +39,7 @@ class Profile:
         self._tree: DataFrame | None = None
         self._tree_size: TreeSize | None = None
         self._seen_metrics: set[str] = set()
+        self._threads_checked = False
 
     @property
     def pinned(self) -> bool:
@@ -68,6 +69,16 @@ class Profile:
             self._seen_metrics |= {row.metric for row in found.select("metric").distinct().collect()}
         return names & self._seen_metrics
 
+    def check_threads(self) -> None:
+        """Raise :class:`KeyCheckError` unless every fact's thread has a location; once.
+
+        Statistics and algebra need the locations of all facts. Collections that
+        :meth:`write` stored are known to have them.
+        """
+        if not self._threads_checked:
+            tables.refuse_unknown_threads(self)
+            self._threads_checked = True
+
     def experiment(self, experiment_id: int) -> Profile:
         """The given experiment alone (partition pruning on stored tables)."""
         only = F.col("experiment_id") == experiment_id
@@ -81,6 +92,7 @@ class Profile:
         )
         if self._tree is not None:
             part._tree = self._tree.where(only)
+        part._threads_checked = self._threads_checked
         return part
 
     # Storage
@@ -89,6 +101,7 @@ class Profile:
     def load(cls, spark: SparkSession, path: str, experiment_id: int | None = None) -> Profile:
         """Open a stored collection, or one experiment of it."""
         profile = cls(**tables.read(spark, path))
+        profile._threads_checked = tables.is_checked(spark, path)
         return profile if experiment_id is None else profile.experiment(experiment_id)
 
     def write(self, path: str) -> Profile:

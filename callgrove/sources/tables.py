@@ -15,6 +15,8 @@ from callgrove.errors import KeyCheckError
 if TYPE_CHECKING:
     from callgrove.profile import Profile
 
+#: Folder that tells a collection whose facts have known threads only.
+CHECKED = "checked"
 #: Folder layout: readers that ask for an experiment or a metric skip the rest.
 PARTITIONS = {"facts": ["experiment_id", "metric"], "cnodes": ["experiment_id"]}
 
@@ -61,7 +63,7 @@ def write(profile: Profile, path: str) -> None:
     Rows are rebalanced on the partition columns: small experiments do not end up
     in many files, and one that holds a large share of all rows is split over tasks.
     """
-    _refuse_unknown_threads(profile)
+    profile.check_threads()
     frames = {
         "experiments": profile.experiments,
         "metrics": profile.metrics,
@@ -77,10 +79,15 @@ def write(profile: Profile, path: str) -> None:
         if keys:
             writer = writer.partitionBy(*keys)
         writer.parquet(f"{path.rstrip('/')}/{name}")
+    marker = profile.facts.sparkSession.range(1).select(F.lit("facts").alias("table"))
+    marker.coalesce(1).write.parquet(f"{path.rstrip('/')}/{CHECKED}")
 
 
-def _refuse_unknown_threads(profile: Profile) -> None:
-    """One job: threads are few, so they are aggregated before they meet the locations."""
+def refuse_unknown_threads(profile: Profile) -> None:
+    """Raise where facts have threads without a location.
+
+    One job: threads are few, so they are aggregated before they meet the locations.
+    """
     keys = ["experiment_id", "thread_id"]
     used = profile.facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     unknown = used.join(profile.locations.select(*keys), keys, "left_anti")
@@ -90,3 +97,16 @@ def _refuse_unknown_threads(profile: Profile) -> None:
             f"{n} facts of threads without a location, e.g. thread {example.thread_id}"
             f" of experiment {example.experiment_id}"
         )
+
+
+def is_checked(spark: SparkSession, path: str) -> bool:
+    """Whether :func:`write` made the collection, and so checked its keys.
+
+    Whoever adds facts by other means has to remove the folder ``checked``.
+    """
+    try:
+        return not spark.read.schema("table string").parquet(f"{path.rstrip('/')}/{CHECKED}").isEmpty()
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise

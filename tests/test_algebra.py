@@ -253,3 +253,19 @@ def test_output_dir(profile, other, tmp_path):
     assert _cells(stored) == _cells(profile.diff(other))
     with pytest.raises(Exception, match="already exists"):
         profile.diff(other, output_dir=target)
+
+
+def test_batches_read_the_experiments_that_they_name(spark, tmp_path):
+    parts = [handmade_profile(spark, i) for i in range(1, 8)]
+    frames = {}
+    for name in ("experiments", "metrics", "locations", "cnodes", "facts"):
+        frames[name] = getattr(parts[0], name)
+        for part in parts[1:]:
+            frames[name] = frames[name].unionByName(getattr(part, name))
+    stored = Profile(**frames).write(str(tmp_path / "seven"))
+    pairs = spark.createDataFrame([(1, 2, 5)], "result_id long, minuend long, subtrahend long")
+    delta = algebra.diff_pairs(stored, pairs)
+    plan = delta.facts._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "experiment_id" in line]
+    assert any("experiment_id" in line and "IN (2,5)" in line for line in filters)
+    assert delta.facts.where("value <> 0").isEmpty()

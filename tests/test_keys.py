@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +139,70 @@ def test_very_long_quoted_cell(spark, tmp_path):
     (tmp_path / "run_1.csv").write_text(f'{header}\ntime,"{name}",1,2,3,4,5,6\n')
     row = reports.load_stat(spark, str(tmp_path)).rows.first()
     assert row.routine == name.replace('""', '"') and row.maximum == 6.0
+
+
+def test_comparison_tells_slashes_in_names_from_levels(spark):
+    a = handmade_profile(spark, 1, nodes=[(0, 1, "init/x", None, None, None)], metrics={"time": {}})
+    b = handmade_profile(
+        spark, 2, nodes=[(0, 1, "init", None, None, None), (1, 2, "x", None, None, 0)], metrics={"time": {}}
+    )
+    found = Profile.cmp(a, b)
+    assert not found.summary.first().equal
+    assert found.summary.first().n_diff == 3
+    assert sorted((r.item, r.left) for r in found.details.collect()) == [("init", 0.0), ("init/x", 0.0), ("init/x", 1.0)]
+
+
+def test_comparison_tells_slashes_in_places(spark):
+    sides = []
+    for i, (machine, node) in enumerate([("x/y", "z"), ("x", "y/z"), (None, "z"), ("(none)", "z"), ("z", None)], 1):
+        profile = handmade_profile(spark, i, threads=(0,), metrics={"time": {(0, 0): 1.0}})
+        places = profile.locations.withColumn("machine", F.lit(machine).cast("string"))
+        sides.append(_with(profile, locations=places.withColumn("node", F.lit(node).cast("string"))))
+    for a, b in ((0, 1), (2, 3), (2, 4), (4, 4)):
+        found = Profile.cmp(sides[a], sides[b]).summary.first()
+        # Both places lack a partner, and so does the cell of each.
+        assert (found.equal, found.n_diff) == ((True, 0) if a == b else (False, 4))
+    mean = Profile.mean(sides[2], sides[4], system_dim=SystemDimension.REDUCE)
+    assert mean.locations.count() == 2
+
+
+@pytest.mark.parametrize("how", list(SystemDimension))
+def test_algebra_refuses_facts_of_unknown_threads(spark, how):
+    whole = handmade_profile(spark, 2)
+    less = _with(handmade_profile(spark, 1), locations=whole.locations.where("thread_id <> 3"))
+    for work in (
+        lambda: Profile.mean(less, whole, system_dim=how),
+        lambda: whole.diff(less, how),
+        lambda: Profile.merge(less, whole, system_dim=how),
+        lambda: whole.cmp(less),
+    ):
+        with pytest.raises(KeyCheckError, match="facts of threads"):
+            work()
+
+
+def test_statistics_refuse_facts_of_unknown_threads(spark):
+    profile = handmade_profile(spark)
+    less = _with(profile, locations=profile.locations.where("thread_id = 0"))
+    with pytest.raises(KeyCheckError, match="facts of threads"):
+        less.stat()
+
+
+def test_stored_collections_are_checked_unless_written_here(spark, tmp_path):
+    profile = handmade_profile(spark)
+    profile.write(str(tmp_path / "own"))
+    assert Profile.load(spark, str(tmp_path / "own"))._threads_checked
+    shutil.copytree(tmp_path / "own", tmp_path / "foreign", ignore=shutil.ignore_patterns("checked"))
+    profile.locations.where("thread_id <> 3").write.mode("overwrite").parquet(str(tmp_path / "foreign" / "locations"))
+    foreign = Profile.load(spark, str(tmp_path / "foreign"), 1)
+    assert not foreign._threads_checked
+    with pytest.raises(KeyCheckError, match="thread 3 of experiment 1"):
+        foreign.stat()
+
+
+def test_path_ids_end_in_the_path_id(spark):
+    names = spark.createDataFrame([(["a", "b", "c"],), (["a"],), (["a", ""],)], "names array<string>")
+    rows = names.select(
+        algebra._path_id(F.col("names"), 3).alias("one"), algebra._path_ids(F.col("names"), 3).alias("all")
+    ).collect()
+    assert [r.one for r in rows] == [r.all[-1] for r in rows]
+    assert rows[0].all[0] == rows[1].one and len({r.one for r in rows}) == 3
