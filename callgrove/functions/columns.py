@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 # Prefixes of region names that mark a path class.
 _CLASS_PREFIXES = {"MPI_": "MPI", "!$omp": "OMP"}
-_DEFAULT_CLASS = "USR"
+DEFAULT_CLASS = "USR"
 
 
 def path_class(explicit: Column, region_name: Column) -> Column:
     """Class of a call path: the stored one, else by the name of its last region."""
-    derived = F.lit(_DEFAULT_CLASS)
+    derived = F.lit(DEFAULT_CLASS)
     for prefix, label in _CLASS_PREFIXES.items():
         derived = F.when(F.startswith(region_name, F.lit(prefix)), F.lit(label)).otherwise(derived)
     return F.coalesce(explicit, derived)

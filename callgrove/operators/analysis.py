@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from callgrove.functions.columns import class_label, inclusive_name
 from callgrove.functions.selection import id_filter
 from callgrove.operators.dimensions import region_names
-from callgrove.operators.inspection import calltree, dump, of_metrics
+from callgrove.operators.inspection import calltree_rows, dump, of_metrics
 from callgrove.operators.stats import routine_stats
+from callgrove.plans.lineage import cut_and_observe
 from callgrove.plans.lookup import lookup
 from callgrove.plans.ranking import top_k
 
@@ -34,7 +35,7 @@ def top_self_time(profile: Profile, k: int = 15, metric: str = "time") -> DataFr
 
     User code and MPI only, smallest first as for a horizontal bar chart.
     """
-    rows = of_classes(calltree(profile, metric, inclusive=False))
+    rows = of_classes(calltree_rows(profile, metric, inclusive=False))
     best = top_k(rows, ["experiment_id"], [F.desc("value"), F.asc("cnode_id")], k)
     return best.orderBy("experiment_id", "value", F.desc("cnode_id")).select(
         *_NODE, "name", "value", class_label(F.col("path_class")).alias("label")
@@ -84,10 +85,14 @@ def hottest_nodes(
 def thread_values(
     profile: Profile, nodes: DataFrame, metric: str = "time", threads: str = "all"
 ) -> DataFrame:
-    """Exclusive value of the given nodes on each thread, with their region names."""
-    named = region_names(profile, nodes)
+    """Exclusive value of the given nodes on each thread, with their region names.
+
+    The nodes are stored and counted, so that few of them are broadcast however large the
+    tree is.
+    """
+    named, seen = cut_and_observe(region_names(profile, nodes), rows=F.count(F.lit(1)))
     cells = dump(profile, (metric,), threads=threads).drop("metric")
-    size = profile.tree_size.bytes(128)
+    size = 128.0 * (seen.get("rows") or 0)
     return lookup(cells, named, _NODE, table_bytes=size, spread=["thread_id"])
 
 
@@ -119,7 +124,7 @@ def top_changes(delta: Profile, k: int = 15, metric: str = "time") -> DataFrame:
 
     Sorted by value: positive where the first operand of the difference has more.
     """
-    rows = of_classes(calltree(delta, metric, inclusive=True))
+    rows = of_classes(calltree_rows(delta, metric, inclusive=True))
     order: list[Column] = [F.desc(F.abs("value")), F.asc("callpath")]
     best = top_k(rows, ["experiment_id"], order, k)
     return best.orderBy("experiment_id", "value", "callpath").select(

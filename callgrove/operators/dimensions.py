@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
@@ -55,6 +56,28 @@ def layout_summary(profile: Profile) -> DataFrame:
     )
 
 
+def layout_sketches(profile: Profile) -> DataFrame:
+    """Sketches of the process and thread names of each compute node, for any later merge."""
+    return profile.locations.groupBy("experiment_id", "machine", "node").agg(
+        F.hll_sketch_agg("process").alias("processes"), F.hll_sketch_agg("thread").alias("threads")
+    )
+
+
+def layout_estimate(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Approximate distinct processes and thread names by ``keys``, over all that they leave out.
+
+    Sketches merge, so names seen in many experiments count once without a look at the
+    locations.  With the default size of 4096 registers an estimate is off by at most 3.3 %
+    in 19 of 20 cases.
+    """
+    return sketches.groupBy(*keys).agg(
+        *(
+            F.hll_sketch_estimate(F.hll_union_agg(name)).alias(name)
+            for name in ("processes", "threads")
+        )
+    )
+
+
 def tree_size(profile: Profile) -> DataFrame:
     """Number of call-tree nodes and the greatest depth per experiment."""
     return profile.tree.groupBy("experiment_id").agg(

@@ -12,7 +12,7 @@ from callgrove.errors import UnknownMetricError
 from callgrove.functions.columns import call_path, path_class, percent_of, tree_label
 from callgrove.functions.selection import id_filter
 from callgrove.model import ALL_THREADS
-from callgrove.operators.tree import in_preorder, roll_up
+from callgrove.operators.tree import combined_classes, in_preorder, roll_up
 from callgrove.plans.lookup import lookup
 
 if TYPE_CHECKING:
@@ -51,7 +51,12 @@ def over_threads(facts: DataFrame) -> DataFrame:
 
 
 def of_known_nodes(profile: Profile, cells: DataFrame, spread: Sequence[str]) -> DataFrame:
-    """Rows whose node is in the tree.  Values of unknown nodes count nowhere."""
+    """Rows whose node is in the tree.  Values of unknown nodes count nowhere.
+
+    Stored collections know whether they have any, then this is no join.
+    """
+    if profile._nodes_checked:
+        return cells
     known = profile.tree.select(*_NODE)
     size = profile.tree_size.bytes(32)
     return lookup(cells, known, _NODE, table_bytes=size, spread=spread, how="left_semi")
@@ -92,7 +97,8 @@ def dump(
     if z == "incl":
         cells = roll_up(cells, profile.tree, profile.tree_size, onto=chosen_nodes)
     else:
-        cells = of_known_nodes(profile, cells, ["metric"])
+        spread = [c for c in ("metric", "thread_id") if c in cells.columns]
+        cells = of_known_nodes(profile, cells, spread)
     if "thread_id" not in cells.columns:
         cells = cells.withColumn("thread_id", F.lit(ALL_THREADS).cast("long"))
     return cells.select("experiment_id", "cnode_id", "thread_id", "metric", "value")
@@ -109,9 +115,15 @@ def node_values(profile: Profile, metric: str, inclusive: bool) -> DataFrame:
     totals = own.groupBy("experiment_id").agg(F.sum("value").alias("_total"))
     measured = profile.metrics.where(F.col("metric") == metric).select("experiment_id")
     scope = measured.join(totals, "experiment_id", "left")
+    in_scope = lookup(
+        profile.tree,
+        scope,
+        ["experiment_id"],
+        table_bytes=48.0 * profile.tree_size.experiments,
+        spread=["cnode_id"],
+    )
     return (
-        profile.tree.join(scope, "experiment_id")
-        .join(values.select(*_NODE, "value"), _NODE, "left")
+        in_scope.join(values.select(*_NODE, "value"), _NODE, "left")
         .withColumn("value", F.coalesce("value", F.lit(0.0)))
         .withColumn("pct", percent_of(F.col("value"), F.col("_total")))
         .drop("_total")
@@ -119,17 +131,36 @@ def node_values(profile: Profile, metric: str, inclusive: bool) -> DataFrame:
 
 
 def calltree(
-    profile: Profile, metric: str = "time", threshold: float = 0.0, inclusive: bool = True
+    profile: Profile,
+    metric: str = "time",
+    threshold: float = 0.0,
+    inclusive: bool = True,
+    combined: bool = False,
 ) -> DataFrame:
     """One row per node in pre-order with value, percentage and call path.
 
     A positive ``threshold`` keeps nodes whose percentage reaches it in magnitude.
+    ``combined`` gives user code that leads to MPI or OpenMP the class ``COM``.
     """
+    rows = calltree_rows(profile, metric, threshold, inclusive, combined)
+    return in_preorder(rows).drop("ids")
+
+
+def calltree_rows(
+    profile: Profile,
+    metric: str,
+    threshold: float = 0.0,
+    inclusive: bool = True,
+    combined: bool = False,
+) -> DataFrame:
+    """The rows of :func:`calltree` and their paths ``ids``, in any order."""
     nodes = node_values(profile, metric, inclusive)
     if threshold > 0:
         nodes = nodes.where(F.abs("pct") >= threshold)
+    if combined:
+        nodes = nodes.drop("path_class").join(combined_classes(profile.tree), _NODE)
     cls = path_class(F.col("path_class"), F.col("region_name"))
-    return in_preorder(nodes).select(
+    return nodes.select(
         *_NODE,
         F.col("region_name").alias("name"),
         call_path(cls, F.col("names")).alias("callpath"),
@@ -137,6 +168,7 @@ def calltree(
         "value",
         "pct",
         "depth",
+        "ids",
     )
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callgrove.errors import TreeError
+from callgrove.functions.columns import DEFAULT_CLASS, path_class
 from callgrove.plans.lineage import cut, cut_and_observe
 from callgrove.plans.lookup import lookup
-from callgrove.plans.ranking import number_rows
+from callgrove.plans.ranking import number_rows, running_sum
 
 _NODE = ["experiment_id", "cnode_id"]
 
@@ -107,10 +108,11 @@ def preorder_rows(tree: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TreeSize:
-    """Rows of a call-tree table and the total length of its paths."""
+    """Rows of a call-tree table, the total length of its paths and about how many experiments."""
 
     nodes: int
     steps: int
+    experiments: int = 1
 
     def bytes(self, per_node: int, per_step: int = 0) -> float:
         """Size of a table with so many bytes per node and per path step."""
@@ -120,7 +122,11 @@ class TreeSize:
 def measure(tree: DataFrame) -> TreeSize:
     """Measure a tree with one small job."""
     return TreeSize(
-        *tree.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
+        *tree.agg(
+            F.count(F.lit(1)),
+            F.coalesce(F.sum(F.size("ids")), F.lit(0)),
+            F.approx_count_distinct("experiment_id"),
+        ).first()
     )
 
 
@@ -154,6 +160,83 @@ def roll_up(
     )
 
 
+def with_intervals(tree: DataFrame) -> DataFrame:
+    """``experiment_id, cnode_id, first, last``: pre-order position of a node and of its last descendant."""
+    numbered = cut(
+        number_rows(tree.select(*_NODE, "ids"), ["experiment_id"], [F.col("ids")], "first")
+    )
+    last = (
+        numbered.select("experiment_id", F.explode("ids").alias("cnode_id"), "first")
+        .groupBy(*_NODE)
+        .agg(F.max("first").alias("last"))
+    )
+    return numbered.drop("ids").join(last, _NODE)
+
+
+def roll_up_by_intervals(cells: DataFrame, intervals: DataFrame, size: TreeSize) -> DataFrame:
+    """Inclusive values as differences of running sums, for trees that are very deep.
+
+    The values below a node are those at the pre-order positions of its interval, that is the
+    running sum at its end less the one before its beginning.  Each cell is one row and each
+    node two for each metric (and thread) of its experiment, however deep the tree is;
+    :func:`roll_up` has one row for each cell and ancestor before it combines them.  Sums are
+    off by rounding errors relative to the total of the experiment.  Nodes without a value
+    below them come out as 0 here.
+    """
+    keys = [c for c in cells.columns if c not in ("cnode_id", "value")]
+    spread = [c for c in keys if c != "experiment_id"]
+    placed = lookup(
+        cells,
+        intervals.select(*_NODE, "first"),
+        _NODE,
+        table_bytes=size.bytes(40),
+        spread=spread,
+    )
+    nothing = F.lit(None).cast("long")
+    values = placed.select(
+        *keys, F.col("first").alias("_at"), nothing.alias("cnode_id"), "value", F.lit(0).alias("_sign")
+    )
+    ends = F.array(
+        F.struct((F.col("first") - 1).alias("_at"), F.lit(-1).alias("_sign")),
+        F.struct(F.col("last").alias("_at"), F.lit(1).alias("_sign")),
+    )
+    groups = cells.select(*keys).distinct()
+    borders = groups.join(
+        intervals.select("experiment_id", "cnode_id", F.inline(ends)), "experiment_id"
+    ).select(*keys, "_at", "cnode_id", F.lit(None).cast("double").alias("value"), "_sign")
+    # At equal positions a value comes before the borders that enclose it.
+    order = [F.col("_at"), F.col("cnode_id").asc_nulls_first(), F.col("_sign")]
+    summed = running_sum(values.unionByName(borders), keys, order, "value", "_sum")
+    return (
+        summed.where("_sign <> 0")
+        .groupBy(*keys, "cnode_id")
+        .agg(F.sum(F.col("_sign") * F.col("_sum")).alias("value"))
+        .select(*cells.columns)
+    )
+
+
+def combined_classes(tree: DataFrame) -> DataFrame:
+    """``experiment_id, cnode_id, path_class`` where paths down to MPI or OpenMP are ``COM``.
+
+    A stored class stays; a path that is user code by its name becomes ``COM`` if a node
+    below it is MPI or OpenMP.  Such nodes flag all nodes of their path, which is one
+    aggregation, combined before the shuffle.
+    """
+    cls = path_class(F.col("path_class"), F.col("region_name"))
+    classed = tree.select(*_NODE, "ids", F.col("path_class").alias("_stored"), cls.alias("path_class"))
+    flagged = (
+        classed.where(F.col("path_class").isin("MPI", "OMP"))
+        .select("experiment_id", F.explode("ids").alias("cnode_id"))
+        .distinct()
+        .withColumn("_below", F.lit(True))
+    )
+    plain = F.col("_stored").isNull() & (F.col("path_class") == DEFAULT_CLASS)
+    return classed.join(flagged, _NODE, "left").select(
+        *_NODE,
+        F.when(plain & F.col("_below"), F.lit("COM")).otherwise(F.col("path_class")).alias("path_class"),
+    )
+
+
 def self_values(inclusive: DataFrame, tree: DataFrame, size: TreeSize) -> DataFrame:
     """Turn inclusive values into exclusive ones: subtract the children.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -27,10 +28,44 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Folders of intermediate results by application.
+_SCRATCH: dict[str, list[str]] = {}
+_checkpoints: dict[str, list[str]] = {}
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder for intermediate results, known to :func:`clear_scratch`."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the folders and checkpoints that this session made; returns their number.
+
+    Data frames that read from them are of no use afterwards: write the results first.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    paths += [path for path in _checkpoints.pop(spark.sparkContext.applicationId, []) if path]
+    return sum(remove_folder(spark, path) for path in paths)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any file system; tells whether it was there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.delete(folder, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, keep it in reliable storage and forget how it was made."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    shared_dir(spark)
+    stored = df.checkpoint(eager=True)
+    file = stored._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        _checkpoints.setdefault(spark.sparkContext.applicationId, []).append(file.get())
+    return stored
 
 
 def cut_and_observe(df: DataFrame, **aggregates: Column) -> tuple[DataFrame, dict[str, Any]]:

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callgrove.plans.lineage import cut
+
 #: Largest table that is sent to every executor.
 BROADCAST_BYTES = 48 * 1024 * 1024
 
-#: Ways a hot key is split when the table is too large to broadcast.
-SALTS = 16
-
 
 def measured_bytes(table: DataFrame, width: Column | int = 64) -> float:
     """Size of a table whose rows take ``width`` bytes."""
@@ -20,6 +19,22 @@ def measured_bytes(table: DataFrame, width: Column | int = 64) -> float:
     return table.agg(F.coalesce(F.sum(row_bytes.cast("double")), F.lit(0.0))).first()[0]
 
 
+#: A key is heavy from this share of the rows on.
+HEAVY_SHARE = 1 / 256
+
+
+def heavy_keys(big: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Keys that hold at least ``HEAVY_SHARE`` of the rows, with ``_ways``, the tasks for each.
+
+    One aggregation, combined before its shuffle; at most 1 / ``HEAVY_SHARE`` keys come out.
+    """
+    counts = cut(big.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")))
+    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    least = max(2.0, HEAVY_SHARE * total)
+    ways = F.ceil(F.col("_rows") / least * 2).cast("int")
+    return cut(counts.where(F.col("_rows") >= least).select(*on, ways.alias("_ways")))
+
+
 def lookup(
     big: DataFrame,
     table: DataFrame,
@@ -32,15 +47,22 @@ def lookup(
     """Join ``big`` with a table of known size.
 
     Up to ``BROADCAST_BYTES`` the table is broadcast and ``big`` is not moved.
-    Beyond that both sides are shuffled on the keys plus a salt taken from the
-    ``spread`` columns of ``big``, so the rows of one hot key go to ``SALTS`` tasks.
+    Beyond that both sides are shuffled on the keys.  Rows of a heavy key go to as many tasks
+    as its share asks for, by a salt from the ``spread`` columns; only the table's rows of
+    such keys are repeated.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported lookup type: {how}")
     if table_bytes <= BROADCAST_BYTES:
         return big.join(F.broadcast(table), list(on), how)
-    salted_big = big.withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    heavy = F.broadcast(heavy_keys(big, on))
+    ways = F.coalesce("_ways", F.lit(1))
+    salted_big = big.join(heavy, list(on), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*spread), ways).cast("int")
+    )
+    salted_table = (
+        table.join(heavy, list(on), "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), ways - 1)))
+        .drop("_ways")
     )
-    salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted_big.join(salted_table, [*on, "_salt"], how).drop("_salt")
+    return salted_big.drop("_ways").join(salted_table, [*on, "_salt"], how).drop("_salt")

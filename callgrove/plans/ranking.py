@@ -47,6 +47,38 @@ def number_rows(
     )
 
 
+def running_sum(
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column], value: str, name: str
+) -> DataFrame:
+    """Add ``name``, the sum of ``value`` over the rows of the group up to and with this one.
+
+    Works like :func:`number_rows`: sums per partition, shifted by those of the same group in
+    earlier partitions; ``order`` must leave no ties.
+    """
+    keys = [F.col(g) for g in groups]
+    ranged = cut(
+        df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id())
+    )
+    within = Window.partitionBy("_range", *groups).orderBy(*order)
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    shifts = (
+        ranged.groupBy("_range", *groups)
+        .agg(F.sum(value).alias("_sum"))
+        .withColumn("_shift", F.sum("_sum").over(before))
+        .where(F.col("_shift").isNotNull())
+        .select("_range", *groups, "_shift")
+    )
+    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn(name, F.coalesce(F.sum(value).over(upto), F.lit(0.0)))
+    return (
+        local.join(F.broadcast(shifts), ["_range", *groups], "left")
+        .withColumn(name, F.col(name) + F.coalesce("_shift", F.lit(0.0)))
+        .drop("_range", "_shift")
+    )
+
+
 def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """Keep the first ``k`` rows of every group; ``order`` must leave no ties."""
     if k <= _TRIMMED_K:

@@ -40,6 +40,8 @@ class Profile:
         self._tree_size: TreeSize | None = None
         self._seen_metrics: set[str] = set()
         self._threads_checked = False
+        #: Whether every fact's node is known to be in the tree.
+        self._nodes_checked = False
 
     @property
     def pinned(self) -> bool:
@@ -93,6 +95,7 @@ class Profile:
         if self._tree is not None:
             part._tree = self._tree.where(only)
         part._threads_checked = self._threads_checked
+        part._nodes_checked = self._nodes_checked
         return part
 
     # Storage
@@ -101,7 +104,9 @@ class Profile:
     def load(cls, spark: SparkSession, path: str, experiment_id: int | None = None) -> Profile:
         """Open a stored collection, or one experiment of it."""
         profile = cls(**tables.read(spark, path))
-        profile._threads_checked = tables.is_checked(spark, path)
+        unknown = tables.unknown_nodes(spark, path)
+        profile._threads_checked = unknown is not None
+        profile._nodes_checked = unknown == 0
         return profile if experiment_id is None else profile.experiment(experiment_id)
 
     def write(self, path: str) -> Profile:
@@ -137,9 +142,14 @@ class Profile:
         return inspection.info(self, metric)
 
     def calltree(
-        self, metric: str = "time", threshold: float = 0.0, inclusive: bool = True
+        self,
+        metric: str = "time",
+        threshold: float = 0.0,
+        inclusive: bool = True,
+        *,
+        combined: bool = False,
     ) -> DataFrame:
-        return inspection.calltree(self, metric, threshold, inclusive)
+        return inspection.calltree(self, metric, threshold, inclusive, combined)
 
     def dump(
         self,
@@ -155,13 +165,26 @@ class Profile:
         metrics: Sequence[str] = ("time",),
         routines: Sequence[str] | None = None,
         top_n: int | None = None,
+        per_thread: bool = False,
         *,
         ddof: int = 1,
         quartiles: bool = False,
+        rank_error: float | None = None,
     ) -> DataFrame:
+        """Statistics of routines, see :mod:`callgrove.operators.stats`.
+
+        ``per_thread`` takes them over the nodes of a routine on each thread.  ``rank_error``
+        lets quartiles be off by that share of the sample's ranks, for far less work.
+        """
+        if per_thread:
+            if top_n is not None or quartiles:
+                raise ValueError("per_thread goes with neither top_n nor quartiles")
+            return stats.thread_stats(self, metrics, routines, ddof=ddof)
         if top_n is not None:
             return stats.flat_profile(self, top_n)
-        return stats.routine_stats(self, metrics, routines, ddof=ddof, quartiles=quartiles)
+        return stats.routine_stats(
+            self, metrics, routines, ddof=ddof, quartiles=quartiles, rank_error=rank_error
+        )
 
     # Algebra
 

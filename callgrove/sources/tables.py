@@ -5,17 +5,19 @@ from __future__ import annotations
 from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callgrove import model
 from callgrove.errors import KeyCheckError
+from callgrove.plans.lineage import remove_folder
+from callgrove.plans.lookup import lookup, measured_bytes
 
 if TYPE_CHECKING:
     from callgrove.profile import Profile
 
-#: Folder that tells a collection whose facts have known threads only.
+#: Folder that tells a collection whose keys were checked.
 CHECKED = "checked"
 #: Folder layout: readers that ask for an experiment or a metric skip the rest.
 PARTITIONS = {"facts": ["experiment_id", "metric"], "cnodes": ["experiment_id"]}
@@ -58,29 +60,84 @@ def write(profile: Profile, path: str) -> None:
     """Store the tables in new folders below ``path``; existing ones are an error.
 
     Facts of a thread without a location are refused: no operation could place them.
-    Facts of unknown nodes may stay, all operations leave them out.
+    Facts of unknown nodes may stay, all operations leave them out.  The job that writes the
+    facts counts both, so their keys are checked without another scan.
 
     Rows are rebalanced on the partition columns: small experiments do not end up
     in many files, and one that holds a large share of all rows is split over tasks.
     """
-    profile.check_threads()
-    frames = {
-        "experiments": profile.experiments,
-        "metrics": profile.metrics,
-        "locations": profile.locations,
-        "cnodes": profile.tree.select(model.TREE.fieldNames()),
-        "facts": profile.facts,
-    }
-    for name, frame in frames.items():
-        schema = model.TREE if name == "cnodes" else model.TABLES[name]
-        typed = frame.select(*(F.col(f.name).cast(f.dataType) for f in schema))
-        keys = PARTITIONS.get(name, [])
-        writer = typed.hint("rebalance", *keys).write.mode("errorifexists")
-        if keys:
-            writer = writer.partitionBy(*keys)
-        writer.parquet(f"{path.rstrip('/')}/{name}")
-    marker = profile.facts.sparkSession.range(1).select(F.lit("facts").alias("table"))
-    marker.coalesce(1).write.parquet(f"{path.rstrip('/')}/{CHECKED}")
+    folder = path.rstrip("/")
+    facts, unknown = _observed_facts(profile)
+    _write_table(facts, "facts", folder)
+    if unknown.get["threads"]:
+        remove_folder(profile.facts.sparkSession, f"{folder}/facts")
+        _remove_if_empty(profile.facts.sparkSession, folder)
+        _refuse(unknown.get["threads"], unknown.get["example"])
+    for name in ("experiments", "metrics", "locations"):
+        _write_table(getattr(profile, name), name, folder)
+    _write_table(profile.tree.select(model.TREE.fieldNames()), "cnodes", folder)
+    spark = profile.facts.sparkSession
+    marker = spark.range(1).select(F.lit(unknown.get["nodes"]).cast("long").alias("unknown_nodes"))
+    marker.coalesce(1).write.parquet(f"{folder}/{CHECKED}")
+
+
+def _write_table(frame: DataFrame, name: str, folder: str) -> None:
+    schema = model.TREE if name == "cnodes" else model.TABLES[name]
+    typed = frame.select(*(F.col(f.name).cast(f.dataType) for f in schema))
+    keys = PARTITIONS.get(name, [])
+    writer = typed.hint("rebalance", *keys).write.mode("errorifexists")
+    if keys:
+        writer = writer.partitionBy(*keys)
+    writer.parquet(f"{folder}/{name}")
+
+
+def _observed_facts(profile: Profile) -> tuple[DataFrame, Observation]:
+    """The facts, and what the job that writes them sees of their keys.
+
+    ``threads`` and ``nodes`` are the numbers of facts whose thread or node is unknown.
+    """
+    places = profile.locations.select("experiment_id", "thread_id").distinct()
+    places = places.withColumn("_place", F.lit(True))
+    with_places = lookup(
+        profile.facts,
+        places,
+        ["experiment_id", "thread_id"],
+        table_bytes=measured_bytes(places, 32),
+        spread=["metric", "cnode_id"],
+        how="left",
+    )
+    nodes = profile.tree.select("experiment_id", "cnode_id").withColumn("_node", F.lit(True))
+    judged = lookup(
+        with_places,
+        nodes,
+        ["experiment_id", "cnode_id"],
+        table_bytes=profile.tree_size.bytes(32),
+        spread=["metric", "thread_id"],
+        how="left",
+    )
+    lost = F.col("_place").isNull()
+    seen = Observation()
+    observed = judged.observe(
+        seen,
+        F.count_if(lost).alias("threads"),
+        F.count_if(F.col("_node").isNull()).alias("nodes"),
+        F.min(F.when(lost, F.struct("experiment_id", "thread_id"))).alias("example"),
+    )
+    return observed.drop("_place", "_node"), seen
+
+
+def _remove_if_empty(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(folder) and not len(system.listStatus(folder)):
+        system.delete(folder, False)
+
+
+def _refuse(n: int, example) -> None:
+    raise KeyCheckError(
+        f"{n} facts of threads without a location, e.g. thread {example['thread_id']}"
+        f" of experiment {example['experiment_id']}"
+    )
 
 
 def refuse_unknown_threads(profile: Profile) -> None:
@@ -93,20 +150,19 @@ def refuse_unknown_threads(profile: Profile) -> None:
     unknown = used.join(profile.locations.select(*keys), keys, "left_anti")
     n, example = unknown.agg(F.coalesce(F.sum("n"), F.lit(0)), F.min(F.struct(*keys))).first()
     if n:
-        raise KeyCheckError(
-            f"{n} facts of threads without a location, e.g. thread {example.thread_id}"
-            f" of experiment {example.experiment_id}"
-        )
+        _refuse(n, example)
 
 
-def is_checked(spark: SparkSession, path: str) -> bool:
-    """Whether :func:`write` made the collection, and so checked its keys.
+def unknown_nodes(spark: SparkSession, path: str) -> int | None:
+    """Facts of unknown nodes in a collection that :func:`write` made and so checked.
 
-    Whoever adds facts by other means has to remove the folder ``checked``.
+    ``None`` for other collections.  Whoever adds facts to one by other means has to remove
+    its folder ``checked``.
     """
     try:
-        return not spark.read.schema("table string").parquet(f"{path.rstrip('/')}/{CHECKED}").isEmpty()
+        row = spark.read.schema("unknown_nodes long").parquet(f"{path.rstrip('/')}/{CHECKED}").first()
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
+    return None if row is None else row.unknown_nodes

@@ -190,11 +190,17 @@ def test_statistics_refuse_facts_of_unknown_threads(spark):
 def test_stored_collections_are_checked_unless_written_here(spark, tmp_path):
     profile = handmade_profile(spark)
     profile.write(str(tmp_path / "own"))
-    assert Profile.load(spark, str(tmp_path / "own"))._threads_checked
+    own = Profile.load(spark, str(tmp_path / "own"))
+    assert own._threads_checked and own.experiment(1)._nodes_checked
+    extra = spark.createDataFrame([(1, "time", 77, 0, 180.0)], profile.facts.schema)
+    _with(profile, facts=profile.facts.unionByName(extra)).write(str(tmp_path / "more"))
+    more = Profile.load(spark, str(tmp_path / "more"))
+    assert more._threads_checked and not more._nodes_checked
+    assert 77 not in {r.cnode_id for r in more.dump().collect()}
     shutil.copytree(tmp_path / "own", tmp_path / "foreign", ignore=shutil.ignore_patterns("checked"))
     profile.locations.where("thread_id <> 3").write.mode("overwrite").parquet(str(tmp_path / "foreign" / "locations"))
     foreign = Profile.load(spark, str(tmp_path / "foreign"), 1)
-    assert not foreign._threads_checked
+    assert not foreign._threads_checked and not foreign._nodes_checked
     with pytest.raises(KeyCheckError, match="thread 3 of experiment 1"):
         foreign.stat()
 

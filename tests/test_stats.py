@@ -4,6 +4,7 @@ import pytest
 
 from callgrove.operators import analysis
 from callgrove.plans import lookup as lookup_module
+from tests.handmade import handmade_profile
 
 
 _KNOWN: dict = {}
@@ -137,3 +138,57 @@ def test_salted_lookups_give_the_same(profile, monkeypatch):
     broadcast = everything()
     monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", -1)
     assert everything() == broadcast
+
+
+def test_statistics_per_thread(profile):
+    rows = {(r.routine, r.thread_id): r for r in profile.stat(per_thread=True).collect()}
+    # EXCL(work) on thread 0: nodes 1 and 2 with 10 and 5; INCL: the outermost node alone.
+    own = rows["EXCL(work)", 0]
+    assert (own["count"], own["sum"], own["mean"], own.variance) == (2, 15.0, 7.5, 12.5)
+    assert (own.minimum, own.maximum) == (5.0, 10.0)
+    all_ = rows["INCL(work)", 0]
+    assert (all_["count"], all_["sum"], all_.variance) == (1, 15.0, None)
+    # Two nodes of MPI_Send, one of them without a value on thread 3.
+    send = rows["EXCL(MPI_Send)", 3]
+    assert (send["count"], send["sum"], send.minimum, send.maximum) == (2, 8.0, 0.0, 8.0)
+    assert rows["INCL(main)", 2]["sum"] == 33.0
+    # Thread 2 has no value of MPI_Send, init has none at all.
+    assert ("EXCL(MPI_Send)", 2) not in rows and not any("init" in name for name, _ in rows)
+
+
+def test_statistics_per_thread_of_some_routines(profile):
+    rows = profile.stat(("time", "visits"), ("work",), per_thread=True, ddof=0).collect()
+    assert {r.routine for r in rows} == {"INCL(work)", "EXCL(work)"}
+    assert {r.metric for r in rows} == {"time", "visits"}
+    with pytest.raises(ValueError, match="per_thread"):
+        profile.stat(top_n=3, per_thread=True)
+
+
+@pytest.mark.parametrize("rank_error", [0.05, 0.01])
+def test_sketched_quartiles_keep_their_rank_error(spark, rank_error):
+    """4000 threads of which 1000 have no value; a fifth of the values is negative."""
+    import numpy as np
+
+    random = np.random.default_rng(3)
+    values = {(0, t): float(v) for t, v in enumerate(random.normal(1.0, 1.2, 3000))}
+    profile = handmade_profile(spark, metrics={"time": values}, threads=tuple(range(4000)))
+    row = profile.stat(("time",), ("main",), quartiles=True, rank_error=rank_error).where("routine = 'EXCL(main)'").first()
+    sample = np.sort(np.concatenate([list(values.values()), np.zeros(1000)]))
+    for share, found in ((0.25, row.quartile_25), (0.5, row.median), (0.75, row.quartile_75)):
+        wanted = int((len(sample) - 1) * share)
+        low, high = np.searchsorted(sample, found), np.searchsorted(sample, found, side="right") - 1
+        distance = 0 if low <= wanted <= high else min(abs(low - wanted), abs(high - wanted))
+        assert distance <= rank_error * 3000
+    exact = profile.stat(("time",), ("main",)).where("routine = 'EXCL(main)'").first()
+    assert (row["count"], row["sum"]) == (4000, pytest.approx(exact["sum"]))
+
+
+def test_sketched_quartiles_take_no_checkpoint(spark, profile):
+    rows = profile.stat(quartiles=True, rank_error=0.05)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan.split("kll_sketch_agg")[1].split("Union")[0]
+    small = {r.routine: r for r in rows.collect()}
+    assert small["EXCL(init)"].median == 0.0
+    assert small["EXCL(main)"].quartile_25 == 1.0
+    with pytest.raises(ValueError, match="rank_error"):
+        profile.stat(quartiles=True, rank_error=1.5)

@@ -89,3 +89,42 @@ def test_node_order_in_the_table_does_not_matter(spark):
     shuffled = handmade_profile(spark, nodes=list(reversed(NODES)))
     rows = {r.cnode_id: r.ids for r in shuffled.tree.collect()}
     assert rows[2] == [0, 1, 2]
+
+
+def _comb(spark, depth: int):
+    """A path of that depth with a leaf at every node."""
+    nodes = [(i, i, f"f{i}", None, None, i - 1 if i else None) for i in range(depth)]
+    nodes += [(1000 + i, 1000, "leaf", None, None, i) for i in range(depth)]
+    values = {(i, i % 3): float(i + 1) for i in range(depth)} | {(1000 + i, 0): 0.5 for i in range(depth)}
+    return handmade_profile(spark, metrics={"time": values}, nodes=nodes)
+
+
+@pytest.mark.parametrize("depth", [1, 40])
+def test_intervals_give_the_sums_of_paths(spark, depth):
+    profile = _comb(spark, depth)
+    nodes = tree.with_intervals(profile.tree)
+    for keys in (["experiment_id", "metric"], ["experiment_id", "metric", "thread_id"]):
+        cells = profile.facts.groupBy(*keys, "cnode_id").agg(F.sum("value").alias("value"))
+        cells = cells.select(*keys, "cnode_id", "value")
+        wanted = {
+            tuple(r[k] for k in (*keys, "cnode_id")): r.value
+            for r in tree.roll_up(cells, profile.tree, profile.tree_size).collect()
+        }
+        found = tree.roll_up_by_intervals(cells, nodes, profile.tree_size).collect()
+        for r in found:
+            assert r.value == pytest.approx(wanted.get(tuple(r[k] for k in (*keys, "cnode_id")), 0.0), abs=1e-9)
+        assert len(found) >= len(wanted)
+
+
+def test_intervals_hold_the_descendants(profile):
+    spans = {r.cnode_id: (r.first, r["last"]) for r in tree.with_intervals(profile.tree).collect()}
+    assert spans == {0: (0, 4), 1: (1, 2), 2: (2, 2), 3: (3, 3), 4: (4, 4), 5: (5, 5)}
+
+
+def test_combined_classes(spark, profile):
+    found = {r.cnode_id: r.path_class for r in tree.combined_classes(profile.tree).collect()}
+    assert found == {0: "COM", 1: "USR", 2: "USR", 3: "MPI", 4: "MPI", 5: "USR"}
+    stored = profile.tree.withColumn("path_class", F.when(F.col("cnode_id") == 0, F.lit("USR")))
+    assert {r.path_class for r in tree.combined_classes(stored).where("cnode_id = 0").collect()} == {"USR"}
+    rows = {r.cnode_id: r.callpath for r in profile.calltree(combined=True).collect()}
+    assert rows[0] == "COM:/main" and rows[3] == "MPI:/main/MPI_Send"

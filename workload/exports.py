@@ -6,19 +6,18 @@ through a single task.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callgrove import Profile
 from callgrove.functions.columns import call_path, path_class
 from callgrove.operators.inspection import node_values
-from callgrove.plans.lineage import shared_dir
+from callgrove.operators.stats import flat_profile
+from callgrove.plans.lineage import scratch_folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return scratch_folder(spark, name)
 
 
 def _csv(rows: DataFrame, folder: str) -> str:
@@ -53,8 +52,9 @@ def stat_reports(profile: Profile, folder: str) -> str:
     )
 
 
-def flat_reports(profile: Profile, folder: str, top_n: int) -> str:
-    rows = profile.stat(top_n=top_n)
+def flat_reports(profile: Profile, folder: str) -> str:
+    """Flat profiles of all routines."""
+    rows = flat_profile(profile, None)
     return _csv(
         rows.select(
             "experiment_id",

@@ -171,8 +171,9 @@ flat AS (
 SELECT experiment_id, 'time' AS metric, routine,{{region}} CAST(calls AS BIGINT) AS count,
        round(time, 4) AS sum, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS variance,
        CAST(NULL AS DOUBLE) AS minimum, CAST(NULL AS DOUBLE) AS maximum
-FROM flat
-QUALIFY row_number() OVER (PARTITION BY experiment_id ORDER BY time DESC, region_id) <= 25"""
+FROM flat {{first}}"""
+
+_FIRST = "QUALIFY row_number() OVER (PARTITION BY experiment_id ORDER BY time DESC, region_id) <= 25"
 
 _INFO_BASIC = f"""{_with(_CUSTOMERS, _FACTS, _LOCATIONS)},
 per_location AS (
@@ -285,7 +286,7 @@ SELECT experiment_id, metric, region_id, routine,
        round(quantile_cont(value, 0.5), 6) AS median,
        round(quantile_cont(value, 0.75), 6) AS quartile_75
 FROM dense GROUP BY experiment_id, metric, region_id, routine""",
-        "stat_top_n": _FLAT.format(region=" region_id,"),
+        "stat_top_n": _FLAT.format(region=" region_id,", first=_FIRST),
         "diff_keep": _DIFF_KEEP.format(place="process, thread", group=", process, thread"),
         "diff_collapse": _DIFF_KEEP.format(
             place="'all' AS process, 'all' AS thread", group=""
@@ -362,12 +363,12 @@ FROM dense WHERE inclusive GROUP BY experiment_id, metric, region_id, region_nam
 SELECT experiment_id, cnode_id, thread_id, name, round(value, 4) AS value FROM hot""",
         "imbalance_top10": f"""{_with(_CUSTOMERS, _FACTS, _TREE, _INCL, _HOT.format(k=10))}
 SELECT experiment_id, cnode_id, thread_id, name, round(value, 4) AS value,
-       round(avg(value) OVER w + 1e-7, 5) AS mean_value,
+       count(*) OVER w AS values, round(sum(value) OVER w, 3) AS total,
        round(max(value) OVER w / avg(value) OVER w, 6) AS imbalance
 FROM hot WINDOW w AS (PARTITION BY experiment_id, cnode_id)""",
         "load_stat": f"""SELECT * EXCLUDE (region_id)
 FROM ({_stat("'time', 'visits'", "", "var_samp")})""",
-        "load_flat": _FLAT.format(region=""),
+        "load_flat": _FLAT.format(region="", first=""),
         "load_basic": _INFO_BASIC,
         "load_tree": _calltree(
             "time",
@@ -388,4 +389,76 @@ SELECT loader, experiment_id, reason FROM experiments, (VALUES
   ('stat', 'missing columns: cube::Metric, Routine, Count, Sum, Mean, Variance, Minimum, Maximum'),
   ('tree', 'unexpected header: cube::Region,Number of Calls,Exclusive Time')) r(loader, reason)""",
         "calltree_derived": calltree_incl,
+        "profile_from_reports": calltree_incl,
+        "profile_rejects": f"""{base}
+SELECT experiment_id, 'unknown thread' AS reason, count(*) AS values FROM facts
+WHERE thread_id >= 28 GROUP BY experiment_id
+UNION ALL
+SELECT experiment_id, 'summary has 5 processes, the locations have 4', 0 FROM experiments""",
+        "calltree_combined": _calltree(
+            "visits",
+            "incl",
+            columns="experiment_id, cnode_id, region_name AS name, cls || ':/' || path AS callpath,"
+            " cls AS path_class, value, pct, depth FROM (SELECT *, CASE WHEN path_class = 'USR' AND"
+            " EXISTS (SELECT 1 FROM classed b WHERE b.experiment_id = shown.experiment_id"
+            " AND list_contains(b.ids, shown.cnode_id) AND b.path_class IN ('MPI', 'OMP'))"
+            " THEN 'COM' ELSE path_class END AS cls",
+            where=") named",
+        ),
+        "dump_incl_intervals": f"""{_with(_CUSTOMERS, _FACTS, _TREE, _INCL)},
+groups AS (SELECT DISTINCT experiment_id, metric FROM facts)
+SELECT t.experiment_id, g.metric, t.cnode_id, round(coalesce(i.value, 0), 4) AS value
+FROM tree t JOIN groups g USING (experiment_id)
+LEFT JOIN incl i ON i.experiment_id = t.experiment_id AND i.cnode_id = t.cnode_id
+     AND i.metric = g.metric""",
+        "layout_sketched": f"""WITH {_CUSTOMERS}, {_LOCATIONS}
+SELECT machine, node, count(DISTINCT process) AS processes, count(DISTINCT thread) AS threads
+FROM locations GROUP BY machine, node""",
+        "stat_quartiles_sketched": _with(
+            _CUSTOMERS, _FACTS, _TREE, _LOCATIONS, _INCL, _STATS.format(metrics="'time'")
+        )
+        + """,
+sorted AS (
+  SELECT experiment_id, metric, region_id, routine, list_sort(list(value)) AS v
+  FROM dense GROUP BY ALL)
+SELECT experiment_id, metric, region_id, routine,
+       round(v[CAST(floor((len(v) - 1) * 0.25) AS BIGINT) + 1], 4) AS quartile_25,
+       round(v[CAST(floor((len(v) - 1) * 0.5) AS BIGINT) + 1], 4) AS median,
+       round(v[CAST(floor((len(v) - 1) * 0.75) AS BIGINT) + 1], 4) AS quartile_75
+FROM sorted""",
+        "stat_per_thread": f"""{_with(_CUSTOMERS, _FACTS, _TREE, _INCL)},
+routines AS (
+  SELECT t.experiment_id, t.cnode_id,
+         CASE WHEN t.cnode_id < 1000 THEN t.cnode_id ELSE -1 - ascii(c_mktsegment) END AS region_id,
+         CASE WHEN t.cnode_id < 1000 THEN t.region_name ELSE c_mktsegment END AS region_name
+  FROM tree t LEFT JOIN customer ON t.cnode_id = 1000 + c_custkey),
+values_ AS (
+  SELECT f.experiment_id, f.metric, f.thread_id, c.cnode_id, true AS inclusive, sum(f.value) AS value
+  FROM facts f JOIN charged c ON f.experiment_id = c.experiment_id AND f.cnode_id = c.below
+  WHERE f.metric IN ('time', 'visits') GROUP BY ALL
+  UNION ALL
+  SELECT experiment_id, metric, thread_id, cnode_id, false, value FROM facts
+  WHERE metric IN ('time', 'visits')),
+used AS (
+  SELECT DISTINCT v.experiment_id, v.metric, v.thread_id, v.inclusive, r.region_id
+  FROM values_ v JOIN routines r USING (experiment_id, cnode_id)),
+samples AS (
+  SELECT u.*, r.region_name, r.cnode_id, coalesce(v.value, 0) AS value
+  FROM used u JOIN routines r USING (experiment_id, region_id)
+  LEFT JOIN values_ v ON v.experiment_id = u.experiment_id AND v.metric = u.metric
+    AND v.thread_id = u.thread_id AND v.inclusive = u.inclusive AND v.cnode_id = r.cnode_id)
+SELECT experiment_id, metric,
+       CASE WHEN inclusive THEN 'INCL(' ELSE 'EXCL(' END || region_name || ')' AS routine,
+       CAST(region_id AS BIGINT) AS region_id, thread_id, count(*) AS count,
+       round(sum(value), 4) AS sum, round(avg(value), 6) AS mean,
+       round(var_samp(value), 0) AS variance, round(min(value), 4) AS minimum,
+       round(max(value), 4) AS maximum
+FROM samples GROUP BY experiment_id, metric, inclusive, region_name, region_id, thread_id""",
+        "cmp_slashed_names": f"""{_with(_CUSTOMERS, _FACTS, _TREE)},
+moved AS (
+  SELECT experiment_id, 2 * count(*) AS n FROM tree WHERE cnode_id >= 100 GROUP BY 1
+  UNION ALL
+  SELECT experiment_id, 2 * count(*) FROM facts WHERE cnode_id >= 100 AND value <> 0 GROUP BY 1)
+SELECT experiment_id, false AS equal, CAST(sum(n) AS BIGINT) AS n_diff
+FROM moved GROUP BY experiment_id""",
     }

@@ -51,7 +51,10 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.lit(1000) + F.col("c_custkey")).alias("customer_node"),
             "r_name",
             "n_name",
+            "c_mktsegment",
             F.concat(prefix, "c_name").alias("customer_name"),
+            (F.lit(1000) + F.col("c_custkey")).alias("customer_region"),
+            (F.lit(-1) - F.ascii("c_mktsegment").cast("long")).alias("segment_region"),
         )
     )
 
@@ -72,15 +75,18 @@ def open_profile(
     *,
     max_line: int | None = None,
     split_metrics: bool = False,
+    segments: bool = False,
 ) -> Profile:
     """The collection of :func:`order_profile`, stored once per session and reopened.
 
     This is how collections are meant to be used: imported once, root paths
     included, and queried many times with partition pruning.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, max_line, split_metrics)
+    key = (spark.sparkContext.applicationId, sf_dir, max_line, split_metrics, segments)
     if key not in _STORED:
-        derived = order_profile(spark, sf_dir, max_line=max_line, split_metrics=split_metrics)
+        derived = order_profile(
+            spark, sf_dir, max_line=max_line, split_metrics=split_metrics, segments=segments
+        )
         _STORED[key] = derived.write(f"{shared_dir(spark)}/profile-{uuid.uuid4().hex}")
     return _STORED[key]
 
@@ -91,15 +97,20 @@ def order_profile(
     *,
     max_line: int | None = None,
     split_metrics: bool = False,
+    segments: bool = False,
 ) -> Profile:
     """The collection of all order years.
 
     ``max_line`` restricts the lines, and with them the threads, to the first ones.
     ``split_metrics`` leaves odd years with time and visits, even ones with visits
-    and bytes.
+    and bytes.  ``segments`` takes the market segment for the routine of a customer, so
+    that a routine has many nodes.
     """
     orders = _orders(spark, sf_dir)
     customers = _customers(spark, sf_dir)
+    if segments:
+        customers = customers.withColumn("customer_name", F.col("c_mktsegment"))
+        customers = customers.withColumn("customer_region", F.col("segment_region"))
     lines = _read(spark, sf_dir, "lineitem")
     if max_line is not None:
         lines = lines.where(F.col("l_linenumber") <= max_line)
@@ -154,23 +165,28 @@ def _locations(years: DataFrame, threads: int) -> DataFrame:
 def _cnodes(orders: DataFrame, customers: DataFrame) -> DataFrame:
     root = F.lit(0).cast("long")
     chain = [
-        (root, F.lit("main"), F.lit(None).cast("long")),
-        (F.col("region_node"), F.col("r_name"), root),
-        (F.col("nation_node"), F.col("n_name"), F.col("region_node")),
-        (F.col("customer_node"), F.col("customer_name"), F.col("nation_node")),
+        (root, root, F.lit("main"), F.lit(None).cast("long")),
+        (F.col("region_node"), F.col("region_node"), F.col("r_name"), root),
+        (F.col("nation_node"), F.col("nation_node"), F.col("n_name"), F.col("region_node")),
+        (
+            F.col("customer_node"),
+            F.col("customer_region"),
+            F.col("customer_name"),
+            F.col("nation_node"),
+        ),
     ]
     steps = F.array(
         *(
             F.struct(
                 node.alias("cnode_id"),
-                node.alias("region_id"),
+                region.alias("region_id"),
                 name.alias("region_name"),
                 F.lit("").alias("file"),
                 F.lit(0).cast("long").alias("line"),
                 parent.alias("parent_id"),
                 F.lit(None).cast("string").alias("path_class"),
             )
-            for node, name, parent in chain
+            for node, region, name, parent in chain
         )
     )
     visits = orders.select("experiment_id", "o_custkey").distinct()

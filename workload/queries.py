@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callgrove import Profile, SystemDimension
+from callgrove import Profile, SystemDimension, model
 from callgrove.operators import algebra, analysis, dimensions, inspection, tree
-from callgrove.sources import reports
+from callgrove.sources import builder, reports
 from workload import exports
 from workload.profiles import open_profile, order_profile
 
@@ -95,6 +95,13 @@ def layout_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.layout_summary(open_profile(spark, sf_dir))
 
 
+@query
+def layout_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of seven experiments merged; few names are counted exactly."""
+    sketches = dimensions.layout_sketches(open_profile(spark, sf_dir))
+    return dimensions.layout_estimate(sketches, ["machine", "node"])
+
+
 @query
 def preorder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = tree.preorder_rows(open_profile(spark, sf_dir).tree)
@@ -139,6 +146,23 @@ def info_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(open_profile(spark, sf_dir).info_basic(), wallclock_time=4)
 
 
+@query
+def calltree_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of user code that lead to MPI or OpenMP are COM."""
+    rows = open_profile(spark, sf_dir).calltree("visits", combined=True)
+    return _rounded(rows, value=4, pct=6)
+
+
+@query
+def dump_incl_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inclusive values by running sums over pre-order intervals."""
+    profile = open_profile(spark, sf_dir)
+    own = inspection.over_threads(profile.facts)
+    nodes = tree.with_intervals(profile.tree)
+    rows = tree.roll_up_by_intervals(own, nodes, profile.tree_size)
+    return _rounded(rows, value=4)
+
+
 @query
 def dump_aggr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(open_profile(spark, sf_dir).dump(("time", "bytes")), value=4)
@@ -203,6 +227,27 @@ def stat_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stat_quartiles_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups no larger than the sketch, which then holds every value."""
+    rows = open_profile(spark, sf_dir).stat(("time",), quartiles=True, rank_error=0.01)
+    return _rounded(
+        rows.select(
+            "experiment_id", "metric", "region_id", "routine", "quartile_25", "median", "quartile_75"
+        ),
+        quartile_25=4,
+        median=4,
+        quartile_75=4,
+    )
+
+
+@query
+def stat_per_thread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routine of a customer is the market segment, so samples are many nodes."""
+    profile = open_profile(spark, sf_dir, segments=True)
+    return _stat_digits(profile.stat(("time", "visits"), per_thread=True))
+
+
 @query
 def stat_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(open_profile(spark, sf_dir).stat(top_n=25), sum=4)
@@ -266,6 +311,26 @@ def cmp_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(whole.cmp(part, rel_tol=1e-9).details, left=4, right=4)
 
 
+@query
+def cmp_slashed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations moved below the root under the name ``region/nation``: other paths, equal text."""
+    whole = open_profile(spark, sf_dir)
+    nodes = whole.cnodes.select([f.name for f in model.CNODES])
+    upper = nodes.select(
+        "experiment_id", F.col("cnode_id").alias("parent_id"), F.col("region_name").alias("_above")
+    )
+    is_nation = F.col("cnode_id").between(100, 999)
+    name = F.concat("_above", F.lit("/"), "region_name")
+    moved = (
+        nodes.join(upper, ["experiment_id", "parent_id"], "left")
+        .withColumn("region_name", F.when(is_nation, name).otherwise(F.col("region_name")))
+        .withColumn("parent_id", F.when(is_nation, F.lit(0)).otherwise(F.col("parent_id")))
+        .drop("_above")
+    )
+    other = Profile(whole.experiments, whole.metrics, whole.locations, moved, whole.facts)
+    return whole.cmp(other).summary
+
+
 @query
 def diff_calltree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An algebra result is a profile again: the call tree of a difference."""
@@ -299,11 +364,14 @@ def hottest_cnode_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def imbalance_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mean over 16 or 32 threads often ends in an exact 5 one digit further on, where
-    the last bit of the sum would decide the rounding; the shift moves it off the edge."""
+    """The mean is compared as the sum of a node's values and their number."""
     rows = analysis.thread_imbalance(open_profile(spark, sf_dir))
-    shifted = rows.withColumn("mean_value", F.col("mean_value") + F.lit(1e-7))
-    return _rounded(shifted, value=4, mean_value=5, imbalance=6)
+    n = F.count(F.lit(1)).over(Window.partitionBy("experiment_id", "cnode_id"))
+    counted = rows.select(
+        "experiment_id", "cnode_id", "thread_id", "name", "value", "imbalance",
+        n.alias("values"), (F.col("mean_value") * n).alias("total"),
+    )
+    return _rounded(counted, value=4, total=3, imbalance=6)
 
 
 @query
@@ -329,7 +397,7 @@ def load_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def load_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = exports.flat_reports(
-        open_profile(spark, sf_dir), exports.new_folder(spark, "flat"), 25
+        open_profile(spark, sf_dir), exports.new_folder(spark, "flat")
     )
     return _rounded(reports.load_flat(spark, folder, parts=True).rows.drop("report"), sum=4)
 
@@ -372,7 +440,7 @@ def load_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat-profile reports are no dumps and have no statistics columns."""
     folder = exports.flat_reports(
-        open_profile(spark, sf_dir), exports.new_folder(spark, "flat"), 25
+        open_profile(spark, sf_dir), exports.new_folder(spark, "flat")
     )
     return (
         _reasons("dump", reports.load_dump(spark, folder, parts=True))
@@ -381,6 +449,33 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _built(spark: SparkSession, sf_dir: str, threads: int) -> builder.Built:
+    """Dumps and summaries of a collection, joined with its tree and the first threads."""
+    profile = open_profile(spark, sf_dir)
+    dumps = exports.dump_reports(profile, exports.new_folder(spark, "dump"))
+    basics = exports.basic_reports(profile, exports.new_folder(spark, "basic"))
+    return builder.profile_from_reports(
+        reports.load_dump(spark, dumps, parts=True).rows,
+        reports.load_basic(spark, basics, parts=True).rows,
+        profile.cnodes,
+        metrics=profile.metrics,
+        locations=profile.locations.where(F.col("thread_id") < threads),
+    )
+
+
+@query
+def profile_from_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The call tree of a profile that was built from its reports."""
+    rows = _built(spark, sf_dir, 35).profile.calltree("time", inclusive=True)
+    return _rounded(rows, value=4, pct=6)
+
+
+@query
+def profile_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locations without the last process: its values and the summary's processes fit nowhere."""
+    return _built(spark, sf_dir, 28).rejects
+
+
 def _reasons(kind: str, loaded: reports.Loaded) -> DataFrame:
     year: Column = F.regexp_extract("report", r"(\d+)$", 1).cast("long")
     return loaded.rejects.select(
