@@ -23,7 +23,7 @@ from callgrove.errors import SystemMismatchError, UnknownExperimentError
 from callgrove.functions.columns import hash_id
 from callgrove.model import SystemDimension
 from callgrove.operators.tree import with_depth
-from callgrove.plans.lineage import cut, cut_and_observe
+from callgrove.plans.lineage import cut_and_observe
 from callgrove.plans.lookup import lookup, measured_bytes
 
 if TYPE_CHECKING:
@@ -107,10 +107,10 @@ def _from_groups(profile: Profile, groups: DataFrame) -> Operands:
 
     The groups go into every table, so they are computed once and kept.
     """
-    groups = cut(groups)
-    sizes = groups.groupBy("result_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    whole = Window.partitionBy("result_id")
+    counted = groups.withColumn("n", F.count(F.lit(1)).over(whole).cast("int"))
     known = profile.experiments.select("experiment_id", F.lit(True).alias("_known")).distinct()
-    used = groups.join(sizes, "result_id").join(known, "experiment_id", "left")
+    used = counted.join(known, "experiment_id", "left")
     uses, seen = cut_and_observe(
         used.select("experiment_id", "result_id", "ord", "n", "_known"),
         rows=F.count(F.lit(1)),

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from callgrove.functions.selection import id_ranges
+from callgrove.plans import lookup as lookup_module
 from callgrove.plans import ranking
 from callgrove.plans.lookup import lookup
 
@@ -87,3 +88,36 @@ def test_selection(text, ranges):
 def test_bad_selection(text):
     with pytest.raises(ValueError):
         id_ranges(text)
+
+
+def test_heavy_keys_alone_are_salted(spark):
+    """Half of the rows share a key: no task of the join gets more than a small part of them."""
+    big = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("g"), F.col("id").alias("v")
+    )
+    heavy = {r.g: r._ways for r in lookup_module.heavy_keys(big, ["g"]).collect()}
+    least = lookup_module.HEAVY_SHARE * 20_000
+    assert heavy == {0: -(-10_000 * 2 // least)}
+    table = spark.range(20_000).select(F.col("id").alias("g"), (F.col("id") * 2).alias("twice"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = lookup(big, table, ["g"], table_bytes=1e12, spread=["v"])
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", 3)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r["count"] for r in sizes) == 20_000
+    # A salt takes at most half of the least heavy load, and few of them meet in one task.
+    assert max(r["count"] for r in sizes) < 20_000 / 64 * 2.5
+
+
+def test_running_sum_agrees_with_a_window(spark, skewed):
+    rows = skewed.withColumn("w", (F.col("v") % 100).cast("double"))
+    summed = ranking.running_sum(rows, ["g"], [F.col("v")], "w", "s")
+    upto = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wrong = summed.withColumn("t", F.sum("w").over(upto)).where("abs(s - t) > 1e-6")
+    assert summed.count() == 4000 and wrong.isEmpty()

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from callgrove import Profile, model
+from callgrove.plans import lineage
 from tests.handmade import handmade_profile
 
 
@@ -82,3 +85,28 @@ def test_one_experiment_of_many(spark, profile, tmp_path):
     assert one.pinned
     assert {r.experiment_id for r in one.calltree("time").collect()} == {2}
     assert Profile.load(spark, path, 1).cmp(one).equal
+
+
+def test_scratch_is_removed_on_request(spark, tmp_path):
+    """All folders and checkpoints of the session go; results that were written stay."""
+    shared = Path(lineage.shared_dir(spark).removeprefix("file:"))
+    folder = Path(lineage.scratch_folder(spark, "test").removeprefix("file:"))
+    spark.range(3).write.parquet(str(folder))
+    kept = handmade_profile(spark).write(str(tmp_path / "kept"))
+    lineage.cut(spark.range(5))
+    before = {p.name for p in shared.iterdir()}
+    assert folder.name in before and any(name.startswith("rdd-") for name in before)
+    saved = (dict(lineage._SCRATCH), dict(lineage._checkpoints))
+    made = {Path(p.removeprefix("file:")).name for paths in saved for listed in paths.values() for p in listed}
+    try:
+        # Other tests still use what they made: only the newest of each kind is given up here.
+        app = spark.sparkContext.applicationId
+        newest = lineage._checkpoints[app][-1]
+        lineage._SCRATCH[app], lineage._checkpoints[app] = [str(folder)], [newest]
+        assert lineage.clear_scratch(spark) == 2
+    finally:
+        lineage._SCRATCH.update(saved[0])
+        lineage._checkpoints.update(saved[1])
+    after = {p.name for p in shared.iterdir()}
+    assert before - after == {folder.name, Path(newest).name} and before - after <= made
+    assert kept.facts.count() > 0
