@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callgrove.plans.lineage import shared_dir
+from callgrove.plans.lineage import scratch_folder
 
 #: White space that separates words: the six ASCII characters.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -33,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back, lineage cut."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "llm")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,24 +2,26 @@
 
 Ids are cut into blocks of at most BLOCK ids. Each block starts from a fresh model, has
 its own checksum and can be read alone. Order-2 and order-1 tables predict the next id
-from the ids before it; an order-0 table holds adaptive frequencies of high bytes, the low
-byte is flat. Learned confidences mix the three into one interval of 30 bits for each id,
-which a 64-bit carry-less range coder writes as 32-bit words. All blocks of a segment are
-coded side by side, one numpy lane each.
+from the ids before it. Order 0 holds the block's most frequent ids with their frequencies,
+counted anew at a few growing numbers of ids, and an escape; what escapes is written flat in
+16 bits. Learned confidences mix the orders into one interval of 25 bits for each id, which
+a 64-bit carry-less range coder writes as 32-bit words. All blocks of a segment are coded
+side by side, one numpy lane each. A width that vanishes would be an error of the coder and
+is one when writing, not when reading.
 
 A file row is a segment: its documents' ids and sizes in ascending ``doc_id`` order (nulls
-first, ties by text), and the bytes of its blocks. A block is ``CMR1``, the number of ids,
-the number of words and the crc32 of the ids (little-endian unsigned 32-bit each), then
-the words. Documents never span segments; blocks may hold parts of several documents.
+first, ties by the texts' hashes), and the bytes of its blocks. A block is ``CMR2``, the
+number of ids, the number of words and the crc32 of the ids (little-endian unsigned 32-bit
+each), then the words. Documents never span segments; blocks may hold parts of several.
 
 Nulls: a null text counts as empty, so its document is the end id alone; a null ``doc_id``
-is kept. Repeated rows are written each. An empty table gives no rows; other columns are
-ignored. A checksum or length that does not fit raises ValueError.
+is kept. Texts are written whole at any length. Repeated rows are written each. An empty
+table gives no rows; other columns are ignored. An id of 65536 or more, a checksum or a
+length that does not fit raise ValueError.
 """
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -29,75 +31,106 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callgrove.llm.common import code_on_workers, table
+from callgrove.llm.common import code_on_workers, in_batches, table
 from callgrove.llm.tokens import encoder
-from callgrove.plans.lineage import shared_dir
+from callgrove.plans.lineage import scratch_folder
 from callgrove.plans.lookup import lookup, measured_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-MAGIC = b"CMR1"
-BLOCK = 4096
+MAGIC = b"CMR2"
+BLOCK = 8192
 #: Ids of one segment, unless a single document has more.
-SEGMENT = 1 << 23
-_SLOTS, _LEVELS, _REBUILD = 1024, 4, 256
+SEGMENT = 6_000_000
+#: Slots of a table of guesses, levels of confidence, most ids of order 0, bits of their
+#: frequencies' sum.
+_SLOTS, _LEVELS, _TOP, _BITS = 4096, 4, 2048, 13
+_SUM = 1 << _BITS
+#: Numbers of ids after which a block's order 0 is counted anew.
+_RECOUNTS = (64, 256, 512, 1024, 2048, 4096)
 _U = np.uint64
+_WORD = _U(1 << 32)
 
 
 class Mixer:
     """Models of many blocks in lockstep; ids are below 65536."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, writing: bool):
         self.lane = np.arange(lanes)
-        self.guess = [np.zeros(lanes * _SLOTS, np.int32) for _ in range(2)]
-        self.sure = [np.zeros(lanes * _SLOTS, np.int8) for _ in range(2)]
+        # A slot holds the last id that followed its context and, above it, how sure that is.
+        self.slots = [np.zeros(lanes * _SLOTS, np.int32) for _ in range(2)]
         self.hits = [np.full(lanes * _LEVELS, 200, np.int32) for _ in range(2)]
-        self.counts = np.zeros((lanes, 256), np.int32)
         self.one = np.zeros(lanes, np.int64)
         self.two = np.zeros(lanes, np.int64)
         self.slot_base, self.level_base = self.lane * _SLOTS, self.lane * _LEVELS
-        self.step = 0
-        self.rebuild(lanes)
-
-    def rebuild(self, k: int) -> None:
-        """Frequencies of high bytes out of 1024, each at least 1, from the counts so far."""
-        counts = self.counts[:k].astype(np.int64)
-        total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-        f = 1 + counts * (1024 - 256) // total
-        f[np.arange(k), f.argmax(axis=1)] += 1024 - f.sum(axis=1)
-        cum = np.cumsum(f, axis=1) - f
-        self.freq, self.cum = f.ravel(), cum.ravel()
-        self.symbol = np.repeat(np.tile(np.arange(256, dtype=np.uint8), k), self.freq)
+        self.top_base, self.sum_base = self.lane * _TOP, self.lane * _SUM
+        # Order 0 starts with the escape, symbol 0, alone.
+        self.freq = np.zeros(lanes * _TOP, np.int32)
+        self.freq[self.top_base] = _SUM
+        self.cum = np.zeros(lanes * _TOP, np.int32)
+        self.ids = np.zeros(lanes * _TOP, np.int32)
+        self.symbol = np.zeros(lanes * _SUM, np.int16)
+        # Symbols of ids are asked for when writing only; they take most of the memory.
+        self.symbol_of = np.zeros(lanes << 16 if writing else 0, np.int16)
+
+    def recount(self, seen: np.ndarray) -> None:
+        """Order 0 of the first lanes from the ids that each has seen."""
+        steps, k = seen.shape
+        named = np.sort((seen + (self.lane[:k] << 16)).ravel())
+        at = np.flatnonzero(np.r_[True, named[1:] != named[:-1]])
+        named, count = named[at], np.diff(np.r_[at, len(named)])
+        lane = named >> 16
+        escape = np.clip(_SUM * np.bincount(lane[count == 1], minlength=k) // steps, 32, _SUM // 2)
+        order = np.lexsort((named, -count, lane))
+        named, count, lane = named[order], count[order], lane[order]
+        rank = np.arange(len(lane)) - np.searchsorted(lane, self.lane[:k])[lane] + 1
+        kept = rank < _TOP
+        named, count, lane, rank = named[kept], count[kept], lane[kept], rank[kept]
+        free = _SUM - escape - np.bincount(lane, minlength=k)
+        f = 1 + count * free[lane] // np.bincount(lane, count, k).astype(np.int64)[lane]
+        freq = np.zeros((k, _TOP), np.int64)
+        freq[lane, rank] = f
+        freq[:, 0] = _SUM - freq.sum(axis=1)
+        self.freq[: k * _TOP] = freq.ravel()
+        self.cum[: k * _TOP] = (np.cumsum(freq, axis=1) - freq).ravel()
+        self.ids[lane * _TOP + rank] = named & 0xFFFF
+        self.symbol[: k * _SUM] = np.repeat(np.tile(np.arange(_TOP, dtype=np.int16), k), freq.ravel())
+        if len(self.symbol_of):
+            self.symbol_of[: k << 16] = 0
+            self.symbol_of[named] = rank
 
     def predict(self, k: int) -> tuple[np.ndarray, ...]:
         """Guesses of order 2 and 1, and their shares of 4096; the rest goes to order 0."""
-        if self.step % _REBUILD == 0 and self.step:
-            self.rebuild(k)
-        one, two = self.one[:k], self.two[:k]
-        at1 = self.slot_base[:k] + (one * 0x9E35 >> 4) % _SLOTS
-        at2 = self.slot_base[:k] + ((one * 0x2545F + two * 0x9E3779) >> 7) % _SLOTS
-        self.at = at2, at1
-        level2 = self.level_base[:k] + self.sure[0][at2]
-        level1 = self.level_base[:k] + self.sure[1][at1]
-        self.level = level2, level1
-        guess2, guess1 = self.guess[0][at2], self.guess[1][at1]
-        share2 = self.hits[0][level2]
-        share1 = (4096 - share2) * self.hits[1][level1] >> 12
-        share1[guess1 == guess2] = 0
+        one = self.one[:k]
+        at1 = self.slot_base[:k] + ((one * 0x9E35 >> 4) & (_SLOTS - 1))
+        at2 = self.slot_base[:k] + ((one * 0x2545F + self.two[:k] * 0x9E3779 >> 7) & (_SLOTS - 1))
+        slot2, slot1 = self.slots[0][at2], self.slots[1][at1]
+        level2, level1 = self.level_base[:k] + (slot2 >> 16), self.level_base[:k] + (slot1 >> 16)
+        guess2, guess1 = slot2 & 0xFFFF, slot1 & 0xFFFF
+        known2, known1 = self.hits[0][level2], self.hits[1][level1]
+        self.seen = (at2, slot2, level2, known2), (at1, slot1, level1, known1)
+        share2 = known2.astype(np.int64)
+        share1 = ((4096 - share2) * known1 >> 12) * (guess1 != guess2)
         return guess2, guess1, share2, share1
 
     def update(self, k: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         for order, hit in ((0, hit2), (1, hit1)):
-            at, level = self.at[order], self.level[order]
-            known = self.hits[order][level]
-            # Shares stay between 1 and 4000, so order 0 always keeps some.
-            self.hits[order][level] = np.clip(known + (np.where(hit, 4096, 0) - known >> 5), 1, 4000)
-            self.sure[order][at] = np.where(hit, np.minimum(self.sure[order][at] + 1, _LEVELS - 1), 1)
-            self.guess[order][at] = ids
-        self.counts[self.lane[:k], ids >> 8] += 1
+            at, slot, level, known = self.seen[order]
+            self.hits[order][level] = _NEXT_SHARE[hit * 4097 + known]
+            self.slots[order][at] = ids | _NEXT_SURE[hit * _LEVELS + (slot >> 16)]
         self.two[:k] = self.one[:k]
         self.one[:k] = ids
-        self.step += 1
+
+
+def _next_shares() -> np.ndarray:
+    """Share after a miss and after a hit; it stays between 1 and 4000, so order 0 keeps some."""
+    known = np.arange(4097)
+    return np.concatenate([np.clip(known + (goal - known >> 5), 1, 4000) for goal in (0, 4096)]).astype(np.int32)
+
+
+_NEXT_SHARE = _next_shares()
+#: Confidence after a miss and after a hit, in the upper half of a slot.
+_NEXT_SURE = np.array([1] * _LEVELS + [*range(1, _LEVELS), _LEVELS - 1], np.int64) << 16
 
 
 def _active(sizes: np.ndarray) -> np.ndarray:
@@ -106,46 +139,64 @@ def _active(sizes: np.ndarray) -> np.ndarray:
 
 
 def _settled(low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lanes that give off a word, and the widths they then have."""
+    """Lanes that give off a word, and the widths that all lanes then have.
+
+    A lane gives off its high word once all of its interval shares it, or the interval is
+    cut so that it does. What is kept has to fit the low word, so it is less than 2^32 wide.
+    """
     same = (low ^ (low + width - _U(1))) >> _U(32) == 0
-    small = width < _U(1 << 32)
-    width = np.where(small & ~same, (~low + _U(1)) & _U(0xFFFFFFFF), width)
-    return same | small, width
+    small = width < _WORD
+    width = np.where(small & ~same, (~low + _U(1)) & (_WORD - _U(1)), width)
+    out = same | small
+    width = np.where(out, np.minimum(width, _WORD - _U(1)) << _U(32), width)
+    if not width.all():
+        raise ValueError("an interval of the coder is empty")
+    return out, width
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Bytes of each block of ids, header and checksum included."""
+    if any(len(b) and int(b.max()) > 0xFFFF for b in blocks):
+        raise ValueError("ids of 65536 and more cannot be written")
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     sizes = np.array([len(blocks[i]) for i in order], np.int64)
     lanes, steps = len(blocks), int(sizes[0]) if len(blocks) else 0
-    ids = np.zeros((steps, lanes), np.int64)
+    ids = np.zeros((steps, lanes), np.int32)
     for lane, i in enumerate(order):
         ids[: sizes[lane], lane] = blocks[i]
-    mixer = Mixer(lanes)
+    mixer = Mixer(lanes, True)
     low, width = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    words, used = np.zeros((lanes, steps + 4), np.uint32), np.zeros(lanes, np.int64)
+    words, used = np.zeros((lanes, 3 * steps // 2 + 8), np.uint32), np.zeros(lanes, np.int64)
+
+    def narrow(at: np.ndarray | slice, start: np.ndarray, size: np.ndarray, bits: int) -> None:
+        """Take the part of the lanes' intervals that begins at ``start`` out of 2^bits."""
+        unit = width[at] >> _U(bits)
+        now = low[at] + unit * start.view(_U)
+        out, span = _settled(now, unit * size.view(_U))
+        gone = np.flatnonzero(out)
+        lane = gone if isinstance(at, slice) else at[gone]
+        words[lane, used[lane]] = (now[gone] >> _U(32)).astype(np.uint32)
+        used[lane] += 1
+        now[gone] <<= _U(32)
+        low[at], width[at] = now, span
+
     for step, k in enumerate(_active(sizes)):
-        x = ids[step, :k]
+        if step in _RECOUNTS:
+            mixer.recount(ids[:step, :k])
+        x = ids[step, :k].astype(np.int64)
         guess2, guess1, share2, share1 = mixer.predict(k)
         hit2 = x == guess2
         hit1 = x == guess1
         by1 = hit1 & ~hit2 & (share1 > 0)
         rest = 4096 - share2 - share1
-        high = mixer.lane[:k] * 256 + (x >> 8)
-        freq = mixer.freq[high].astype(np.int64)
-        plain = ((share2 + share1).astype(np.int64) << 18) + rest * ((mixer.cum[high] << 8) + freq * (x & 255))
-        start = np.where(hit2, 0, np.where(by1, share2.astype(np.int64) << 18, plain))
-        size = np.where(hit2, share2.astype(np.int64) << 18, np.where(by1, share1.astype(np.int64) << 18, rest * freq))
-        unit = width[:k] >> _U(30)
-        now = low[:k] + unit * start.view(_U)
-        span = unit * size.view(_U)
-        out, span = _settled(now, span)
-        gone = np.flatnonzero(out)
-        words[gone, used[gone]] = (now[gone] >> _U(32)).astype(np.uint32)
-        used[gone] += 1
-        now[gone] <<= _U(32)
-        span[gone] <<= _U(32)
-        low[:k], width[:k] = now, span
+        symbol = mixer.symbol_of[(mixer.lane[:k] << 16) + x]
+        cell = mixer.top_base[:k] + symbol
+        start = np.where(hit2, 0, np.where(by1, share2 << _BITS, ((share2 + share1) << _BITS) + rest * mixer.cum[cell]))
+        size = np.where(hit2, share2 << _BITS, np.where(by1, share1 << _BITS, rest * mixer.freq[cell]))
+        narrow(slice(0, k), start, size, 12 + _BITS)
+        escaped = np.flatnonzero((symbol == 0) & ~hit2 & ~by1)
+        if len(escaped):
+            narrow(escaped, x[escaped], np.ones(len(escaped), np.int64), 16)
         mixer.update(k, x, hit2, hit1)
     lane = np.arange(lanes)
     for shift in (32, 0):
@@ -165,54 +216,68 @@ def decode_blocks(data: bytes) -> list[np.ndarray]:
     while at < len(data):
         if data[at : at + 4] != MAGIC or at + 16 > len(data):
             raise ValueError("not a block")
-        n, used, crc = (int(v) for v in np.frombuffer(data, "<u4", 3, at + 4))
-        if at + 16 + 4 * used > len(data):
+        n, length, crc = (int(v) for v in np.frombuffer(data, "<u4", 3, at + 4))
+        if at + 16 + 4 * length > len(data):
             raise ValueError("block is cut short")
         heads.append((n, crc))
-        bodies.append(np.frombuffer(data, "<u4", used, at + 16))
-        at += 16 + 4 * used
+        bodies.append(np.frombuffer(data, "<u4", length, at + 16))
+        at += 16 + 4 * length
     if not heads:
         return []
     order = np.argsort([-n for n, _ in heads], kind="stable")
     sizes = np.array([heads[i][0] for i in order], np.int64)
     lanes, steps = len(heads), int(sizes[0])
-    words = np.zeros((lanes, max((len(b) for b in bodies), default=0) + 1), _U)
+    words = np.zeros((lanes, max(2, *(len(b) + 1 for b in bodies))), np.uint32)
     for lane, i in enumerate(order):
         words[lane, : len(bodies[i])] = bodies[i]
-    mixer = Mixer(lanes)
+    mixer = Mixer(lanes, False)
     low, width = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    code, used = (words[:, 0] << _U(32)) | words[:, 1], np.full(lanes, 2)
-    ids = np.zeros((steps, lanes), np.int64)
+    code, used = (words[:, 0].astype(_U) << _U(32)) | words[:, 1], np.full(lanes, 2)
+    ids = np.zeros((steps, lanes), np.int32)
+
+    def place(at: np.ndarray | slice, bits: int) -> np.ndarray:
+        """Where the codes lie in the lanes' intervals, out of 2^bits."""
+        return np.minimum((code[at] - low[at]) // (width[at] >> _U(bits)), _U((1 << bits) - 1)).astype(np.int64)
+
+    def narrow(at: np.ndarray | slice, start: np.ndarray, size: np.ndarray, bits: int) -> None:
+        unit = width[at] >> _U(bits)
+        now = low[at] + unit * start.view(_U)
+        out, span = _settled(now, unit * size.view(_U))
+        gone = np.flatnonzero(out)
+        lane = gone if isinstance(at, slice) else at[gone]
+        now[gone] <<= _U(32)
+        code[lane] = (code[lane] << _U(32)) | words[lane, np.minimum(used[lane], words.shape[1] - 1)]
+        used[lane] += 1
+        low[at], width[at] = now, span
+
     for step, k in enumerate(_active(sizes)):
+        if step in _RECOUNTS:
+            mixer.recount(ids[:step, :k])
         guess2, guess1, share2, share1 = mixer.predict(k)
         rest = 4096 - share2 - share1
-        unit = width[:k] >> _U(30)
-        value = np.minimum((code[:k] - low[:k]) // unit, _U((1 << 30) - 1)).astype(np.int64)
-        share = value >> 18
+        value = place(slice(0, k), 12 + _BITS)
+        share = value >> _BITS
         in2 = share < share2
         in1 = ~in2 & (share < share2 + share1)
-        first0 = (share2 + share1).astype(np.int64) << 18
-        inner = np.maximum(value - first0, 0) // rest
-        high = mixer.symbol[mixer.lane[:k] * 1024 + (inner >> 8)].astype(np.int64)
-        cell = mixer.lane[:k] * 256 + high
-        freq, cum = mixer.freq[cell], mixer.cum[cell]
-        below = (inner - (cum << 8)) // freq
-        x = np.where(in2, guess2, np.where(in1, guess1, (high << 8) + below))
-        start = np.where(in2, 0, np.where(in1, share2.astype(np.int64) << 18, first0 + rest * ((cum << 8) + freq * below)))
-        size = np.where(in2, share2.astype(np.int64) << 18, np.where(in1, share1.astype(np.int64) << 18, rest * freq))
-        now = low[:k] + unit * start.view(_U)
-        out, span = _settled(now, unit * size.view(_U))
-        gone = np.flatnonzero(out)
-        now[gone] <<= _U(32)
-        span[gone] <<= _U(32)
-        code[gone] = (code[gone] << _U(32)) | words[gone, np.minimum(used[gone], words.shape[1] - 1)]
-        used[gone] += 1
-        low[:k], width[:k] = now, span
+        first0 = (share2 + share1) << _BITS
+        # Exact in doubles: the quotient of numbers this small is never rounded to the next.
+        inner = (np.maximum(value - first0, 0) / rest).astype(np.int64)
+        symbol = mixer.symbol[mixer.sum_base[:k] + inner]
+        cell = mixer.top_base[:k] + symbol
+        x = np.where(in2, guess2, np.where(in1, guess1, mixer.ids[cell])).astype(np.int64)
+        start = np.where(in2, 0, np.where(in1, share2 << _BITS, first0 + rest * mixer.cum[cell]))
+        size = np.where(in2, share2 << _BITS, np.where(in1, share1 << _BITS, rest * mixer.freq[cell]))
+        narrow(slice(0, k), start, size, 12 + _BITS)
+        escaped = np.flatnonzero((symbol == 0) & ~in2 & ~in1)
+        if len(escaped):
+            flat = place(escaped, 16)
+            narrow(escaped, flat, np.ones(len(escaped), np.int64), 16)
+            x[escaped] = flat
         ids[step, :k] = x
         mixer.update(k, x, x == guess2, x == guess1)
     out_ids: list[np.ndarray] = [np.zeros(0, np.int64)] * lanes
     for lane, i in enumerate(order):
-        found = ids[: sizes[lane], lane]
+        found = ids[: sizes[lane], lane].astype(np.int64)
         if zlib.crc32(found.astype("<u4").tobytes()) != heads[i][1]:
             raise ValueError("checksum of a block does not fit")
         out_ids[i] = found
@@ -248,10 +313,12 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
                 ["shard", "segment", "doc_ids", "sizes", "blocks"],
             )
 
-        for batch in batches:
+        parts_of = (part for batch in batches for part in in_batches(batch, 64))
+        for batch in parts_of:
             id_type = batch.schema.field("doc_id").type
-            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = units.ids(text.as_py() or "") + end
+            found = units.many([text or "" for text in batch.column("text").to_pylist()])
+            for name, text_ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
+                ids = text_ids + end
                 if total and total + len(ids) // 4 > SEGMENT:
                     yield closed()
                     names, sizes, parts, total, segment = [], [], [], 0, segment + 1
@@ -262,8 +329,10 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
         if names:
             yield closed()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(
+    # The last key only spreads rows that are equal in the others, so that no id fills a task.
+    keys = ["doc_id", F.xxhash64(F.coalesce("text", F.lit("")))]
+    rows = docs.select("doc_id", "text").repartitionByRange(*keys, F.monotonically_increasing_id())
+    rows.sortWithinPartitions(*keys).mapInArrow(
         run, f"shard int, segment int, doc_ids array<{kind}>, sizes array<long>, blocks binary"
     ).write.option("compression", "none").parquet(path)
 
@@ -308,7 +377,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "llm")
     write_shards(table(spark, sf_dir, "documents"), path)
     read = read_shards(spark, path)
     return read.select(
