@@ -7,13 +7,13 @@ squares, rounded and clipped to the supply. The residual documents are packed gr
 after the other, by descending length, and cut where a window ends; the last rest goes to
 windows of power-of-two lengths, so no id is padding.
 
-The histogram has at most one row for each length below the window, and so is the only
-thing that comes to the driver. A document's rank among those of its length comes from
-counts by task, so no length is gathered in one task.
+Each task packs its own documents, in chunks of ``CHUNK`` ids with a plan each. So nothing
+is shuffled, sent to the driver or kept beyond a chunk, and a task that runs again gives the
+same sequences. A chunk ends in at most one window less than full, cut at powers of two.
 
 Nulls: a null text counts as empty and gives its end id alone; a null ``doc_id`` stays
-null. Repeated rows are packed each. An empty table gives no rows; other columns are
-ignored.
+null. Repeated rows are packed each. Texts are packed whole at any length. An empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,56 +26,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from callgrove.llm.common import code_on_workers, stored, table
+from callgrove.llm.common import code_on_workers, in_batches, table
 from callgrove.llm.tokens import encoder
 
 WINDOW = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+#: Ids that a task holds and packs together.
+CHUNK = 1 << 23
 #: Lengths that may be the middle member of a combination of three.
-MIDDLES = 48
-
-
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> DataFrame:
-    """Ids of each document with its place: task, row in it, rank among rests of equal length."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        units, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-        seen: Counter = Counter()
-        row, windows = 0, 0
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                ids = [units.ids(text.as_py() or "") + end for text in part.column("text")]
-                rows, ranks, fulls = [], [], []
-                for one in ids:
-                    rest = (len(one) // 4) % window
-                    rows.append(row)
-                    ranks.append(seen[rest])
-                    fulls.append(windows)
-                    seen[rest] += 1
-                    row += 1
-                    windows += (len(one) // 4) // window
-                n = np.array([len(one) // 4 for one in ids], np.int64)
-                small = [np.frombuffer(one, "<u4").astype("<u2").tobytes() for one in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"), pa.array(np.full(len(n), task, np.int64)), pa.array(rows, pa.int64()),
-                        pa.array(n), pa.array((n % window).astype(np.int32)), pa.array(ranks, pa.int64()),
-                        pa.array(fulls, pa.int64()), pa.array(small, pa.binary()),
-                    ],
-                    ["doc_id", "task", "row", "n", "rest", "rank", "full_before", "ids"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(
-        run,
-        f"doc_id {kind}, task long, row long, n long, rest int, rank long, full_before long, ids binary",
-    )
+MIDDLES = 16
 
 
 def combinations(lengths: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
@@ -92,7 +54,7 @@ def combinations(lengths: np.ndarray, counts: np.ndarray, window: int) -> np.nda
     return np.unique(np.concatenate(found), axis=0)
 
 
-def least_squares(members: np.ndarray, target: np.ndarray, steps: int = 400) -> np.ndarray:
+def least_squares(members: np.ndarray, target: np.ndarray, steps: int = 200) -> np.ndarray:
     """Non-negative repeat counts whose use of each length is nearest to ``target``.
 
     Accelerated projected gradient; column j of the matrix counts the members of
@@ -192,11 +154,17 @@ def plan_for(histogram: dict[int, int], window: int = WINDOW) -> Plan:
     return Plan(window, *columns, combined=sequences, stream=stream)
 
 
-def pieces_of(plan: Plan, n: int, rest: int, rank: int, task: int, full_before: int) -> list[tuple[int, int, int, int]]:
-    """(start, length, sequence_id, offset) of a document's pieces, in order."""
+Piece = tuple[int, int, int, int]
+
+
+def pieces_of(plan: Plan, n: int, rank: int, whole: int) -> list[Piece]:
+    """(start, length, sequence, offset) of a document's pieces, in order.
+
+    ``rank`` counts the documents before it with a rest of the same length, ``whole`` is the
+    sequence of its first whole window.
+    """
     window = plan.window
-    # Whole windows get ids of their own: by task, beyond those of the plan.
-    whole = plan.sequences() + (task << 36) + full_before
+    rest = n % window
     out = [(k * window, window, whole + k, 0) for k in range(n // window)]
     if not rest:
         return out
@@ -222,61 +190,71 @@ def pieces_of(plan: Plan, n: int, rest: int, rank: int, task: int, full_before:
     return out
 
 
+def packed_chunk(sizes: list[int], window: int = WINDOW) -> tuple[list[list[Piece]], int]:
+    """Pieces of documents of the given sizes, and the number of sequences they fill."""
+    plan = plan_for(Counter(n % window for n in sizes), window)
+    whole, seen, out = plan.sequences(), Counter(), []
+    for n in sizes:
+        out.append(pieces_of(plan, n, seen[n % window], whole))
+        seen[n % window] += 1
+        whole += n // window
+    return out, whole
+
+
 def packed(
     docs: DataFrame,
     tokenizer: str = TOKENIZER,
     end_id: int = END_ID,
     window: int = WINDOW,
     with_ids: bool = True,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """One row for each piece, with its ids (little-endian unsigned 32-bit) if ``with_ids``."""
-    spark = docs.sparkSession
-    code_on_workers(spark)
-    tokens = stored(tokenized(docs, tokenizer, end_id, window))
-    by_task = tokens.groupBy("rest", "task").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("rest").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    bases = stored(by_task.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))))
-    counts = bases.groupBy("rest").agg(F.sum("_n").alias("n")).collect()
-    plan = spark.sparkContext.broadcast(plan_for({r["rest"]: r["n"] for r in counts}, window))
-    placed = (
-        tokens.select("task", "row", "n", "rest", "rank", "full_before")
-        .join(bases.select("rest", "task", "_base"), ["rest", "task"])
-        .select("task", "row", (F.col("rank") + F.col("_base")).alias("_rank"))
-    )
+    code_on_workers(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "length", "sequence_id", "offset", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(0, batch.num_rows, 256):
-                part = batch.slice(row, 256)
-                places = [part.column(c).to_pylist() for c in ("n", "rest", "_rank", "task", "full_before")]
-                of, cols, ids = [], ([], [], [], []), []
-                crcs, totals = [], []
-                blobs = part.column("ids")
-                for k, place in enumerate(zip(*places, strict=True)):
-                    wide = np.frombuffer(blobs[k].as_buffer(), "<u2").astype("<u4")
-                    for piece in pieces_of(plan.value, *place):
-                        of.append(k)
-                        for values, value in zip(cols, piece, strict=True):
-                            values.append(value)
-                        own = wide[piece[0] : piece[0] + piece[1]].tobytes()
-                        crcs.append(zlib.crc32(own))
-                        totals.append(place[0])
-                        if with_ids:
-                            ids.append(own)
+        units, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        # Sequences of different tasks have different ids.
+        sequence = TaskContext.get().partitionId() << 36
+        parts: list[pa.Array] = []
+        texts: list[bytes] = []
+        held = 0
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            nonlocal sequence
+            names_of = pa.concat_arrays(parts)
+            pieces, filled = packed_chunk([len(t) // 4 for t in texts], window)
+            for first in range(0, len(texts), 512):
+                rows = [(k, piece) for k in range(first, min(first + 512, len(texts))) for piece in pieces[k]]
+                own = [texts[k][4 * p[0] : 4 * (p[0] + p[1])] for k, p in rows]
+                columns = np.array([p for _, p in rows], np.int64).reshape(-1, 4)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id").take(pa.array(of, pa.int64())),
-                        *(pa.array(values, pa.int64()) for values in cols),
-                        pa.array(crcs, pa.int64()), pa.array(totals, pa.int64()),
-                        *([pa.array(ids, pa.binary())] if with_ids else []),
+                        names_of.take(pa.array([k for k, _ in rows], pa.int64())),
+                        pa.array(columns[:, 0]), pa.array(columns[:, 1]), pa.array(columns[:, 2] + sequence),
+                        pa.array(columns[:, 3]), pa.array([zlib.crc32(ids) for ids in own], pa.int64()),
+                        pa.array([len(texts[k]) // 4 for k, _ in rows], pa.int64()),
+                        *([pa.array(own, pa.binary())] if with_ids else []),
                     ],
                     names,
                 )
+            sequence += filled
 
-    joined = tokens.select("doc_id", "task", "row", "n", "rest", "full_before", "ids").join(placed, ["task", "row"])
-    return joined.select("doc_id", "n", "rest", "_rank", "task", "full_before", "ids").mapInArrow(
+        for batch in batches:
+            for part in in_batches(batch, 64):
+                found = units.many([text or "" for text in part.column("text").to_pylist()])
+                parts.append(part.column("doc_id"))
+                texts += [ids + end for ids in found]
+                held += sum(map(len, found)) // 4 + len(found)
+                if held >= chunk:
+                    yield from closed()
+                    parts, texts, held = [], [], 0
+        if texts:
+            yield from closed()
+
+    return docs.select("doc_id", "text").mapInArrow(
         run,
         f"doc_id {kind}, start long, length long, sequence_id long, offset long, ids_crc32 long,"
         " doc_tokens long" + ", ids binary" * with_ids,

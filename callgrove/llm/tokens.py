@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from operator import add
 
 import numpy as np
 import public_tokenizers
@@ -19,29 +20,31 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 #: A word with the one blank before it; else white space up to the last one before a word.
 BYTE_UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
-#: A word of letters that has only marks behind it. The pre-tokenizer cuts between the two
-#: (an apostrophe may begin a contraction, so it is no such mark), which lets units with
-#: different marks share the word. No special token is one word and marks behind it.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-WORD_AND_MARKS = re.compile(rf"( ?[{_LETTERS}]+)([!-&(-/:-@\[-`{{-~]+)")
+#: What stands between white space.
+WORD_UNIT = re.compile(f"[^{_SPACE}]+")
+
+#: Marks behind a word of letters. The pre-tokenizer cuts between the two (an apostrophe may
+#: begin a contraction, so it is no such mark), which lets units with different marks share
+#: the word. No special token is one word and marks behind it.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 #: Units kept in one Python worker before its cache starts anew.
 CACHE_UNITS = 600_000
 
-#: Words that go to the library in one text.
-JOINED_WORDS = 256
+#: Units that go to the library in one text.
+JOINED_UNITS = 256
 
 
 class Units:
     """Ids of units as little-endian unsigned 32-bit integers, encoded on first sight.
 
-    Words of letters go to the library many in one text, as a call costs more than a word.
-    Each is one pre-token, so the ids of a word are told by the one id that ends it (or
-    begins it): that of a token with ``MARK`` at its end or beginning.
+    New units go to the library many in one text, as a call costs more than a unit. A
+    separator stands between them: the pre-tokenizer cuts on both sides of it, and it has
+    one id that no unit without its character has.
     """
 
-    #: What joins words of letters, the mark of their border tokens, whether it begins them.
-    JOINER, MARK, BEGINS = " ", "</w>", False
+    #: The separator, and the character that a unit must lack to be joined with others.
+    SEPARATOR, MARK = "", ""
 
     def __init__(self, name: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -52,95 +55,119 @@ class Units:
         self.tokenizer.no_padding()
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = {token.content: i for i, token in added.items()}
+        self.separator = np.array(self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids)
+        if len(self.separator) != 1:
+            raise ValueError(f"{name} has no single id for the separator")
         self.known: dict = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.border = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.border[i] = token.startswith(self.MARK) if self.BEGINS else token.endswith(self.MARK)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.known[""] = b""
 
-    def encode_new(self, units: list) -> list[bytes]:
+    def encode_new(self, units: list[str]) -> list[bytes]:
         """Ids of each unit."""
-        texts = [u.decode("utf-8") if isinstance(u, bytes) else u for u in units]
-        out: list[bytes] = [b""] * len(texts)
-        words = [i for i, text in enumerate(texts) if self.WORD.fullmatch(text)]
-        groups = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
-        joined = [self.JOINER.join([texts[i] for i in group]) for group in groups]
-        alone = [i for i, text in enumerate(texts) if not self.WORD.fullmatch(text)]
+        out: list[bytes] = [b""] * len(units)
+        plain = [i for i, unit in enumerate(units) if self.MARK not in unit]
+        alone = [i for i, unit in enumerate(units) if self.MARK in unit]
+        groups = [plain[i : i + JOINED_UNITS] for i in range(0, len(plain), JOINED_UNITS)]
+        joined = [self.SEPARATOR.join([units[i] for i in group]) for group in groups]
         for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, "<u4")
-            at = np.flatnonzero(self.border[ids]) + (not self.BEGINS)
-            if len(at) != len(group):
+            at = np.flatnonzero(ids == self.separator[0])
+            if len(at) != len(group) - 1:
                 alone += group
                 continue
-            cuts = [*(4 * at).tolist(), 4 * len(ids)] if self.BEGINS else [0, *(4 * at).tolist()]
             blob = ids.tobytes()
-            for k, i in enumerate(group):
-                out[i] = blob[cuts[k] : cuts[k + 1]]
-        encoded = self.tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)
+            starts, ends = [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(blob)]
+            for i, start, end in zip(group, starts, ends, strict=True):
+                out[i] = blob[start:end]
+        encoded = self.tokenizer.encode_batch_fast([units[i] for i in alone], add_special_tokens=False)
         for i, found in zip(alone, encoded, strict=True):
             out[i] = np.array(found.ids, "<u4").tobytes()
         return out
 
-    def parts(self, unit) -> tuple:
-        """Pieces of a unit that are encoded alone."""
-        found = WORD_AND_MARKS.fullmatch(unit)
-        return found.groups() if found else (unit,)
-
-    def learn(self, units: list) -> None:
-        known = self.known
-        new = [u for u in dict.fromkeys(units) if u not in known]
+    def learn(self, units: set) -> None:
+        new = units.difference(self.known)
         if not new:
             return
-        if len(known) > CACHE_UNITS:
-            known.clear()
-            new = list(dict.fromkeys(units))
-        split = [self.parts(u) for u in new]
-        alone = list(dict.fromkeys(p for parts in split for p in parts if p not in known))
-        known.update(zip(alone, self.encode_new(alone), strict=True))
-        for unit, parts in zip(new, split, strict=True):
-            if len(parts) > 1:
-                known[unit] = b"".join([known[p] for p in parts])
-
-    def joined(self, units: list) -> bytes:
-        try:
-            return b"".join(map(self.known.__getitem__, units))
-        except KeyError:
-            self.learn(units)
-            return b"".join(map(self.known.__getitem__, units))
+        if len(self.known) + len(new) > CACHE_UNITS:
+            self.forget()
+            new = units.difference(self.known)
+        listed = list(new)
+        # A unit is a word and what follows it, each text of its own that other units share.
+        words, rests = self.split(listed)
+        alone = list({*words, *rests}.difference(self.known))
+        self.known.update(zip(alone, self.encode_new(alone), strict=True))
+        ids = self.known.__getitem__
+        self.known.update(zip(listed, map(add, map(ids, words), map(ids, rests)), strict=True))
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each whole text."""
+        cut = [self.units(text) for text in texts]
+        self.learn(set().union(*cut))
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, units)) for units in cut]
+
+    def ids(self, text: str) -> bytes:
+        return self.many([text])[0]
 
 
 class ByteUnits(Units):
     """Byte-level BPE: units keep their blank; special tokens cut the text first."""
 
-    WORD = re.compile(f" [{_LETTERS}]+")
-    JOINER, MARK, BEGINS = "", "Ġ", True
-
-    def pieces(self, text: str) -> list[str]:
+    SEPARATOR = MARK = "\n"
+
+    def forget(self) -> None:
+        super().forget()
+        self.known.update({content: np.array([i], "<u4").tobytes() for content, i in self.special.items()})
+
+    @staticmethod
+    def split(units: list[str]) -> tuple[list[str], list[str]]:
+        cores = [u.rstrip(MARKS) for u in units]
+        words = [c if c[1:].isalpha() else u for c, u in zip(cores, units, strict=True)]
+        return words, [u[len(w) :] for w, u in zip(words, units, strict=True)]
+
+    def encode_new(self, units: list[str]) -> list[bytes]:
+        # White space next to the separator would be cut otherwise than alone.
+        blank = [unit.isspace() for unit in units]
+        words = iter(super().encode_new([u for u, b in zip(units, blank, strict=True) if not b]))
+        spaces = self.tokenizer.encode_batch_fast(
+            [u for u, b in zip(units, blank, strict=True) if b], add_special_tokens=False
+        )
+        runs = iter(np.array(found.ids, "<u4").tobytes() for found in spaces)
+        return [next(runs) if b else next(words) for b in blank]
+
+    def units(self, text: str) -> list[str]:
         for content in self.special:
             if content in text:
-                return [u for part in text.split(content) for u in self.pieces(part)]
+                first, *rest = (self.units(part) for part in text.split(content))
+                return first + [u for part in rest for u in (content, *part)]
         return BYTE_UNIT.findall(text)
 
-    def ids(self, text: str) -> bytes:
-        for content, number in self.special.items():
-            if content in text:
-                mark = np.array([number], "<u4").tobytes()
-                return mark.join(self.ids(part) for part in text.split(content))
-        return self.joined(BYTE_UNIT.findall(text))
-
 
 class WordUnits(Units):
-    """BPE with word ends: white space is dropped, so any ASCII white space separates units."""
-
-    WORD = re.compile(f"[{_LETTERS}]+")
-
-    def parts(self, unit: bytes) -> tuple:
-        found = WORD_AND_MARKS.fullmatch(unit.decode("utf-8"))
-        # The normalizer lowers letters one by one, so capitals share the word too.
-        return tuple(p.lower().encode("utf-8") for p in found.groups()) if found else (unit,)
-
-    def ids(self, text: str) -> bytes:
-        return self.joined(text.encode("utf-8").split())
+    """BPE with word ends: white space is dropped, so any white space separates units."""
+
+    SEPARATOR, MARK = " | ", "|"
+
+    @staticmethod
+    def split(units: list[str]) -> tuple[list[str], list[str]]:
+        cores = [u.rstrip(MARKS) for u in units]
+        # The normalizer lowers letters one by one, so capitals share the word; the length of
+        # a word in Latin letters stays the same.
+        words = [
+            c.lower() if c.isalpha() and (c.isascii() or max(c) <= "\xff") else u
+            for c, u in zip(cores, units, strict=True)
+        ]
+        return words, [u[len(w) :] for w, u in zip(words, units, strict=True)]
+
+    @staticmethod
+    def units(text: str) -> list[str]:
+        # Python takes four control characters for white space that the tokenizer does not.
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return WORD_UNIT.findall(text)
+        return text.split()
 
 
 _CLASSES = {"byte_bpe_50k.json": ByteUnits, "word_bpe_49k.json": WordUnits}
