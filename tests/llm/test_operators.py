@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from callgrove.llm import bpe, chat, common, html, near_copies, ngrams, omh, packing, quality, rules, shards, simhash, tokens, toxicity
+from callgrove.llm import bpe, chat, common, html, labelled, ngrams, omh, packing, quality, rules, shards, simhash, tokens, toxicity
 from callgrove.plans.lineage import shared_dir
 
 LONG = "the quick brown fox jumps over the lazy dog while it rains on hills " * 900
@@ -72,7 +73,7 @@ def test_features_hold_words_ngrams_and_word_pairs():
     assert len(ngrams.subwords("ab cd", (2, 3), buckets)) == 2 + 2 * (3 + 2) + 1
     assert len(ngrams.char_ngrams("ab  cd", (3,), buckets)) == 5
     same = ngrams.subwords("ab ab", (9,), buckets)
-    assert same[0] == same[1] and same[2] == 1
+    assert same[0] == 1 and same[1] == same[2] > 1
 
 
 def test_first_of_each():
@@ -84,7 +85,7 @@ def test_first_of_each():
 def test_classifier_learns_and_scores_any_text(module, docs, none):
     good = [f"calm words about rivers and hills number {i}" for i in range(40)]
     bad = [f"vile wretched scoundrel {i} about rivers" for i in range(40)]
-    rows = [(0, module.features(t)) for t in good] + [(1, module.features(t)) for t in bad]
+    rows = [(y, *labelled.counted(module.features(t))) for y, texts in ((0, good), (1, bad)) for t in texts]
     model = module.fit_rows(rows, 0.5)
     assert model.score("another vile wretched scoundrel") > 0.7 > 0.3 > model.score("calm rivers and hills")
     scores = (toxicity.toxicity_scores if module is toxicity else quality.quality_scores)(docs, model).collect()
@@ -96,7 +97,7 @@ def test_classifier_learns_and_scores_any_text(module, docs, none):
 @pytest.mark.parametrize("module", [toxicity, quality])
 def test_classifier_without_both_labels_gives_the_share(module):
     assert module.fit_rows([], 0.25).score("any") == pytest.approx(0.25)
-    assert module.fit_rows([(1, module.features("x y z"))], 0.9).score("") == pytest.approx(0.9)
+    assert module.fit_rows([(1, *labelled.counted(module.features("x y z")))], 0.9).score("") == pytest.approx(0.9)
 
 
 def test_filters_keep_rows_whole(docs, none):
@@ -313,134 +314,6 @@ def test_near_duplicates(docs, none):
     assert simhash.one_of_each(none).count() == 0
 
 
-# -------------------------------------------------------------- near copies
-
-
-def _shingles(text):
-    words = near_copies.lowered_words(text)
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def _similar(a, b):
-    a, b = _shingles(a), _shingles(b)
-    return len(a & b) >= 0.8 * len(a | b)
-
-
-def _edited_copies():
-    """Originals with copies of one to three or forty changed words, and texts of the same words in other orders."""
-    random = np.random.default_rng(11)
-    vocabulary = [f"word{i}" for i in range(3000)]
-    rows = []
-    for _ in range(12):
-        base = list(random.choice(vocabulary, 300))
-        rows.append(" ".join(base))
-        for changes in (1, 2, 3, 40):
-            copy = list(base)
-            for at in random.integers(0, 300, changes):
-                copy[at] = str(random.choice(vocabulary))
-            rows.append(" ".join(copy).upper())
-        rows.append(" ".join(random.permutation(base)))
-    return rows + ["", " ", None, "a b", "A  b", "a c", rows[0]]
-
-
-@pytest.mark.parametrize("hot", [near_copies.HOT_MEMBERS, 2])
-def test_near_copies_match_brute_force(spark, hot):
-    texts = _edited_copies()
-    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, root string")
-    got = near_copies.one_of_each(docs, hot_members=hot)
-    assert got.columns == docs.columns
-    smallest = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if smallest[i] != smallest[j] and _similar(texts[i], texts[j]):
-                low, high = sorted((smallest[i], smallest[j]))
-                smallest = [low if x == high else x for x in smallest]
-    assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(smallest))
-
-
-def test_near_copies_recall_near_the_limit(spark):
-    random = np.random.default_rng(5)
-    rows = []
-    for i in range(0, 600, 2):
-        base = [f"w{i}x{k}" for k in random.integers(0, 2000, 300)]
-        copy = list(base)
-        for at in random.choice(300, 6, replace=False):
-            copy[at] = f"new{at}"
-        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
-    linked = sum(_similar(rows[i][1], rows[i + 1][1]) for i in range(0, 600, 2))
-    assert linked > 250
-    dropped = 600 - near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count()
-    assert 0.97 * linked <= dropped <= linked
-
-
-def test_near_copies_of_a_star(spark):
-    """2000 copies of one text, each near it but mostly below 0.8 to each other."""
-    random = np.random.default_rng(3)
-    base = [f"w{k}" for k in random.integers(0, 5000, 400)]
-    rows = []
-    for i in range(2000):
-        copy = list(base)
-        for at in random.choice(400, 8, replace=False):
-            copy[at] = f"new{i}x{at}"
-        rows.append((i, " ".join(copy)))
-    original = " ".join(base)
-    near = {i for i, text in rows if _similar(original, text)}
-    assert len(near) > 1900 and sum(_similar(rows[0][1], text) for _, text in rows) < 10
-    docs = spark.createDataFrame([*rows, (5000, original)], "doc_id long, text string")
-    kept = {r["doc_id"] for r in near_copies.one_of_each(docs).collect()}
-    assert len(kept & near) <= 2 and 5000 not in kept
-
-
-def test_near_copies_recall_under_crowded_keys(spark):
-    """Pairs near 0.8 in one group whose texts share two fifths of their words: every key counts as crowded."""
-    random = np.random.default_rng(6)
-    common_part = [f"c{k}" for k in random.integers(0, 2000, 200)]
-    rows = []
-    for i in range(0, 300, 2):
-        base = common_part + [f"w{i}x{k}" for k in random.integers(0, 2000, 300)]
-        copy = list(base)
-        for at in random.choice(np.arange(200, 500), 10, replace=False):
-            copy[at] = f"new{at}"
-        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
-    linked = sum(_similar(rows[i][1], rows[i + 1][1]) for i in range(0, 300, 2))
-    assert linked > 100
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    dropped = 300 - near_copies.one_of_each(docs, hot_members=2).count()
-    assert 0.97 * linked <= dropped <= linked
-
-
-def _long_edits(kind):
-    """Pairs of a text and the same with a passage appended, or without its end, near 0.8."""
-    random = np.random.default_rng(8)
-    rows = []
-    for i in range(0, 600, 2):
-        base = [f"w{k}" for k in random.integers(0, 20000, int(random.integers(60, 600)))]
-        share = random.uniform(0.16, 0.2)
-        if kind == "appended":
-            copy = base + [f"w{k}" for k in random.integers(0, 20000, int(share * len(base)))]
-        else:
-            copy = base[: int((1 - share) * len(base))]
-        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
-    return rows
-
-
-@pytest.mark.parametrize("kind", ["appended", "truncated"])
-def test_near_copies_recall_of_long_edits(spark, kind):
-    rows = _long_edits(kind)
-    linked = sum(_similar(rows[i][1], rows[i + 1][1]) for i in range(0, 600, 2))
-    assert linked > 200
-    dropped = 600 - near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count()
-    assert 0.99 * linked <= dropped <= linked
-
-
-def test_near_copies_of_odd_rows(spark, docs, none):
-    assert near_copies.one_of_each(none).count() == 0
-    rows = [(None, "one two three"), (None, "one two three"), (5, "one two three"), (None, None), (None, ""), (7, "x")]
-    got = near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
-    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in got.collect())
-    assert kept == [(0, ""), (5, "one two three"), (7, "x")]
-
-
 # ------------------------------------------------------------------ rules
 
 
@@ -515,6 +388,85 @@ def test_wrapper_has_optional_and_repeated_groups():
         assert html.expression(wrapper) == "<ul> (<li> # </>)+ </> (<div> # </>)? <p> # </>"
 
 
+def _accepts(wrapper, page):
+    """Whether the wrapper's regular expression takes all of a page's tags."""
+
+    def pattern(node):
+        body = "".join(pattern(c) for c in node.children)
+        if node.key == html.SLOT:
+            # Runs of text are one slot, which any place may lack.
+            return "(?:#)?" if node.optional else "#"
+        if node.key and not node.key.startswith(html.GROUP):
+            body = f"<{re.escape(node.key)}>{body}</>"
+        return f"(?:{body})" + ("*" if node.optional and node.repeated else "+" if node.repeated else "?" if node.optional else "")
+
+    def stream(node):
+        parts = [stream(c) if not isinstance(c, str) else "#" for c in node.children]
+        inner = re.sub("#+", "#", "".join(parts))
+        return f"<{node.key}>{inner}</>" if node.key else inner
+
+    return re.fullmatch(pattern(wrapper), stream(html.parsed(page))) is not None
+
+
+@st.composite
+def _small_pages(draw):
+    part = st.sampled_from(["<p>a</p>", "<p></p>", "<ul><li>b</li></ul>", "<ul><li>b</li><li>c</li></ul>", "<div>x<p>y</p></div>", "<h1>t</h1>"])
+    return "".join(draw(st.lists(part, max_size=7)))
+
+
+@given(_small_pages())
+@settings(max_examples=150, deadline=None)
+def test_a_page_matches_its_own_wrapper(page):
+    assert _accepts(html.shape(html.parsed(page)), page)
+
+
+def test_wrapper_repeats_groups_of_several_tags():
+    page = "<p>a</p><ul></ul>" * 1500 + "<p>b</p>"
+    own = html.shape(html.parsed(page))
+    assert html.expression(own) == "(<p> # </> <ul></>)+ <p> # </>"
+    assert _accepts(own, "<p>a</p><ul></ul><p>a</p><ul></ul><p>b</p>")
+
+
+@pytest.mark.parametrize("depth", [700, 20_000])
+def test_pages_nested_deeper_than_python(depth):
+    page = "<div>" * depth + "text" + "</div>" * (depth // 2)
+    shape = html.as_text(html.shape(html.parsed(page)))
+    wrapper = html.fold([shape, html.as_text(html.shape(html.parsed("<div><p>x</p></div>")))])
+    assert html.main_text(page, wrapper) == "text"
+    assert html.expression(html.from_text(wrapper)).count("div") == depth
+
+
+def _hosted(spark, pages):
+    common.code_on_workers(spark)
+    rows = [(i, f"http://{host}/{i}", page) for i, (host, page) in enumerate(pages)]
+    found = html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return {r["page_id"]: r["text"] for r in found.collect()}
+
+
+def test_texts_that_all_pages_share_are_no_slots(spark):
+    frame = '<div class="site-top">Shop now and save</div><div><p>{}</p><p>{}</p></div><div class="colophon">All rights reserved</div>'
+    pages = [("a", frame.format(f"Story {i}", f"It ends with {i}.")) for i in range(3)]
+    # Two pages prove nothing; equal pages are one; a page without slots keeps its texts.
+    pages += [("b", frame.format(f"Story {i}", "x")) for i in range(2)]
+    pages += [("c", frame.format("Same", "page"))] * 4
+    pages += [("d", frame.format(f"Story {i}", "y")) for i in range(3)] + [("d", frame.format("Story 0", "y"))]
+    pages += [("e", "<article><p>Shared</p></article>")] * 2 + [("e", f"<article><p>Shared</p><p>{i}</p></article>") for i in range(4)]
+    found = _hosted(spark, pages)
+    assert [found[i] for i in range(3)] == [f"Story {i}\nIt ends with {i}." for i in range(3)]
+    assert found[3] == "Shop now and save\nStory 0\nx\nAll rights reserved"
+    assert found[5] == "Shop now and save\nSame\npage\nAll rights reserved"
+    assert [found[i] for i in range(9, 13)] == ["Story 0", "Story 1", "Story 2", "Story 0"]
+    assert found[13] == "Shared" and found[15] == "Shared\n0"
+
+
+def test_many_shapes_of_a_host_are_folded_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(html, "FOLDED", 3)
+    tags = ["p", "h2", "ul", "h3", "div"]
+    pages = [("a", "".join(f"<{t}>{i}</{t}>" for k, t in enumerate(tags) if i >> k & 1)) for i in range(1, 32)]
+    found = _hosted(spark, pages)
+    assert all(found[i - 1].split("\n") == [str(i)] * i.bit_count() for i in range(1, 32))
+
+
 # ------------------------------------------------------------------ packing
 
 
@@ -548,6 +500,13 @@ def test_packing_keeps_every_id(docs, none, window):
     assert packing.packed(none, window=window).count() == 0
 
 
+def test_packing_in_small_chunks(spark):
+    random = np.random.default_rng(4)
+    rows = [(i, "w " * int(n)) for i, n in enumerate(random.integers(0, 90, 300))]
+    found = packing.packed(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), window=64, chunk=500)
+    assert _check_pieces(found.collect(), rows, 64) == 0
+
+
 def test_least_squares_finds_exact_fillings():
     histogram = {3000: 500, 1096: 700, 2000: 100, 96: 100, 1000: 100}
     plan = packing.plan_for(histogram)
@@ -567,6 +526,49 @@ def test_coder_round_trip(ids, repeat):
     assert (shards.decode_ids(shards.encode_ids(array)) == array).all()
 
 
+def test_settled_lanes_keep_a_width():
+    """Widths of exactly 2^32 whose low end is a multiple of it, and of its neighbours."""
+    edge = np.uint64(1 << 32)
+    low = np.array([5 << 32, 5 << 32, (5 << 32) - 1, (5 << 32) + 7, 0, (6 << 32) - 1], np.uint64)
+    width = np.array([edge, edge - np.uint64(1), edge, edge, edge, 1], np.uint64)
+    out, after = shards._settled(low, width)
+    assert out.tolist() == [True, True, False, False, True, True]
+    assert after.min() > 0 and (after[out] >> np.uint64(32)).max() <= 0xFFFFFFFF
+    assert after[0] == after[1] == (edge - np.uint64(1)) << np.uint64(32)
+    with pytest.raises(ValueError, match="empty"):
+        shards._settled(np.array([9], np.uint64), np.array([0], np.uint64))
+
+
+@pytest.mark.parametrize("first", [1 << 32, (1 << 32) - 1, (1 << 32) + 1])
+def test_blocks_that_meet_a_width_of_a_word(monkeypatch, first):
+    """Encoder and decoder start from a width next to 2^32, where a word is given off at once."""
+    ids = np.random.default_rng(5).zipf(1.2, 4000) % 60_000
+    full = np.full
+    monkeypatch.setattr(shards.np, "full", lambda n, value, *a: full(n, first if value == 0xFFFFFFFFFFFFFFFF else value, *a))
+    assert (shards.decode_ids(shards.encode_ids(ids)) == ids).all()
+
+
+def test_ids_beyond_16_bits_are_refused():
+    with pytest.raises(ValueError, match="65536"):
+        shards.encode_ids(np.array([1, 65536]))
+
+
+def test_coder_takes_fewer_bytes_than_zlib_on_skewed_ids():
+    ids = np.random.default_rng(6).zipf(1.15, 200_000) % 4000
+    plain = sum(len(zlib.compress(ids[i : i + shards.BLOCK].astype("<u2").tobytes())) for i in range(0, len(ids), shards.BLOCK))
+    assert len(shards.encode_ids(ids)) < plain
+
+
+def test_one_document_id_may_hold_most_rows(spark):
+    path = f"{shared_dir(spark)}/shards-hot"
+    rows = [(7, f"text {i % 5}") for i in range(300)] + [(8, "end"), (None, "start")]
+    shards.write_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), path)
+    found = shards.read_shards(spark, path).collect()
+    starts = sorted((r["start"], r["start"] + len(r["ids"]) // 4) for r in found)
+    assert [a for a, _ in starts] == [0, *(e for _, e in starts[:-1])]
+    assert min(found, key=lambda r: r["start"])["doc_id"] is None and max(found, key=lambda r: r["start"])["doc_id"] == 8
+
+
 def test_coder_shrinks_repeats_and_sees_damage():
     ids = np.tile(np.arange(50), 1000)
     data = bytearray(shards.encode_ids(ids))
@@ -583,7 +585,11 @@ def test_shards_give_back_all_documents_in_order(spark, docs, none, monkeypatch)
     shards.write_shards(docs, path)
     got = [(r["start"], r["doc_id"], bytes(r["ids"])) for r in shards.read_shards(spark, path).collect()]
     library = _library_cached(shards.TOKENIZER)
-    order = sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    def hashed(text):
+        value = xxhash.xxh64_intdigest((text or "").encode(), 42)
+        return value - (1 << 64) * (value >> 63)
+
+    order = sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, hashed(r[1])))
     want, at = [], 0
     for i, t in order:
         ids = np.array(library.encode(t or "", add_special_tokens=False).ids + [0], "<u4")
