@@ -363,7 +363,7 @@ FROM dense WHERE inclusive GROUP BY experiment_id, metric, region_id, region_nam
 SELECT experiment_id, cnode_id, thread_id, name, round(value, 4) AS value FROM hot""",
         "imbalance_top10": f"""{_with(_CUSTOMERS, _FACTS, _TREE, _INCL, _HOT.format(k=10))}
 SELECT experiment_id, cnode_id, thread_id, name, round(value, 4) AS value,
-       count(*) OVER w AS values, round(sum(value) OVER w, 3) AS total,
+       count(*) OVER w AS values, round(sum(value) OVER w, 4) AS total,
        round(max(value) OVER w / avg(value) OVER w, 6) AS imbalance
 FROM hot WINDOW w AS (PARTITION BY experiment_id, cnode_id)""",
         "load_stat": f"""SELECT * EXCLUDE (region_id)

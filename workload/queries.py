@@ -371,7 +371,7 @@ def imbalance_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "experiment_id", "cnode_id", "thread_id", "name", "value", "imbalance",
         n.alias("values"), (F.col("mean_value") * n).alias("total"),
     )
-    return _rounded(counted, value=4, total=3, imbalance=6)
+    return _rounded(counted, value=4, total=4, imbalance=6)
 
 
 @query
