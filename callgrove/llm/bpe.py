@@ -127,6 +127,7 @@ class NumpyUnits(ByteUnits):
         self.merges = Merges(path)
         self.special = self.merges.special
         self.known = {}
+        self.forget()
 
     def encode_new(self, units: list[str]) -> list[bytes]:
         split = [[w.encode("utf-8") for w in PATTERN.findall(unit)] for unit in units]
@@ -158,11 +159,7 @@ def _mapped(docs: DataFrame, path: str | None, fields: str, result) -> DataFrame
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 texts = [text.as_py() or "" for text in part.column("text")]
-                units.learn([u for text in texts for u in units.pieces(text)])
-                rows = []
-                for text in texts:
-                    raw = units.ids(text)
-                    rows.append(result(units, np.frombuffer(raw, "<u4"), raw))
+                rows = [result(units, np.frombuffer(raw, "<u4"), raw) for raw in units.many(texts)]
                 columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
