@@ -15,17 +15,17 @@ from callgrove.plans.lookup import lookup
 from callgrove.plans.ranking import number_rows, running_sum
 
 _NODE = ["experiment_id", "cnode_id"]
+_PATH = ["ids", "regions", "names"]
 
 
 def with_paths(cnodes: DataFrame) -> DataFrame:
     """Add ``depth`` and the root-to-node arrays ``ids``, ``regions``, ``names``.
 
-    Every node starts with a path of itself and a link to its parent.  A round puts
-    the path of the linked node in front and takes over its link, which doubles the
-    covered distance: a tree of depth d needs log2(d + 1) rounds.  Each round is one
-    equi-join, cut from its lineage so that the plan does not double as well.
+    Paths of the inner nodes are built first, by doubling; a leaf then takes the path of its
+    parent and itself.  Most nodes are leaves, so they are moved once, or not at all where
+    the inner nodes are few, and not in every round.
     """
-    state = cut(
+    nodes = cut(
         cnodes.select(
             "experiment_id",
             "cnode_id",
@@ -35,27 +35,98 @@ def with_paths(cnodes: DataFrame) -> DataFrame:
             "line",
             "parent_id",
             "path_class",
-            F.col("parent_id").alias("_link"),
-            F.array("cnode_id").alias("ids"),
-            F.array("region_id").alias("regions"),
-            F.array(F.coalesce("region_name", F.lit(""))).alias("names"),
         )
     )
+    links = nodes.where(F.col("parent_id").isNotNull()).select(
+        "experiment_id", F.col("parent_id").alias("cnode_id")
+    )
+    parents, seen = cut_and_observe(links.distinct(), rows=F.count(F.lit(1)))
+    parent_bytes = 32.0 * (seen.get("rows") or 0)
+    is_inner = F.coalesce("_inner", F.lit(False))
+    marked = lookup(
+        nodes,
+        parents.withColumn("_inner", F.lit(True)),
+        _NODE,
+        table_bytes=parent_bytes,
+        spread=["region_id", "region_name"],
+        how="left",
+    )
+    inner = cut(marked.where(is_inner).drop("_inner"))
+    missing = parents.join(inner.select(*_NODE), _NODE, "left_anti")
+    _refuse_dangling(nodes, missing)
+    inner = _inner_paths(inner)
+    size = inner.agg(F.coalesce(F.sum(F.size("ids") * 48 + 64), F.lit(0))).first()[0]
+    return with_depth(
+        inner.select(nodes.columns + _PATH).unionByName(
+            _leaf_paths(marked.where(~is_inner).drop("_inner"), inner, float(size))
+        )
+    )
+
+
+def _refuse_dangling(nodes: DataFrame, missing: DataFrame) -> None:
+    if missing.isEmpty():
+        return
+    above = missing.select(F.col("experiment_id").alias("_experiment"), F.col("cnode_id").alias("_parent"))
+    lost = F.col("experiment_id").eqNullSafe(F.col("_experiment")) & (F.col("parent_id") == F.col("_parent"))
+    count = nodes.join(above, lost, "left_semi").count()
+    raise TreeError(f"{count} call-tree nodes refer to a missing parent")
+
+
+def _leaf_paths(leaves: DataFrame, inner: DataFrame, inner_bytes: float) -> DataFrame:
+    """Paths of nodes without children, from those of their parents."""
+    above = inner.select(
+        "experiment_id",
+        F.col("cnode_id").alias("parent_id"),
+        *(F.col(name).alias(f"_{name}") for name in _PATH),
+    )
+    placed = lookup(
+        leaves,
+        above,
+        ["experiment_id", "parent_id"],
+        table_bytes=inner_bytes,
+        spread=["cnode_id"],
+        how="left",
+    )
+    own = {"ids": F.col("cnode_id"), "regions": F.col("region_id"), "names": _own_name()}
+    joined = {
+        name: F.when(F.col("parent_id").isNull(), F.array(step)).otherwise(
+            F.concat(F.col(f"_{name}"), F.array(step))
+        )
+        for name, step in own.items()
+    }
+    return placed.select(*leaves.columns, *(path.alias(name) for name, path in joined.items()))
+
+
+def _own_name() -> Column:
+    return F.coalesce("region_name", F.lit(""))
+
+
+def _inner_paths(nodes: DataFrame) -> DataFrame:
+    """Nodes whose ancestors are all among them, with their paths.
+
+    Every node starts with a path of itself and a link to its parent.  A round puts
+    the path of the linked node in front and takes over its link, which doubles the
+    covered distance: a tree of depth d needs log2(d + 1) rounds.  Each round is one
+    equi-join, cut from its lineage so that the plan does not double as well.
+    """
+    state = nodes.select(
+        *nodes.columns,
+        F.col("parent_id").alias("_link"),
+        F.array("cnode_id").alias("ids"),
+        F.array("region_id").alias("regions"),
+        F.array(_own_name()).alias("names"),
+    )
     pending = True
     while pending:
         state, seen = cut_and_observe(
             _double(state),
             pending=F.count_if(F.col("_link").isNotNull()),
-            dangling=F.count_if("_dangling"),
             cyclic=F.count_if(_own_ancestor()),
         )
-        if seen.get("dangling"):
-            raise TreeError(f"{seen['dangling']} call-tree nodes refer to a missing parent")
         if seen.get("cyclic"):
             raise TreeError(f"{seen['cyclic']} call-tree nodes are their own ancestors")
         pending = seen.get("pending")
-        state = state.drop("_dangling")
-    return with_depth(state.drop("_link"))
+    return state.drop("_link")
 
 
 def _own_ancestor() -> Column:
@@ -65,7 +136,7 @@ def _own_ancestor() -> Column:
 
 
 def _double(state: DataFrame) -> DataFrame:
-    done = state.where(F.col("_link").isNull()).withColumn("_dangling", F.lit(False))
+    done = state.where(F.col("_link").isNull())
     open_ = state.where(F.col("_link").isNotNull()).alias("open")
     upper = state.select(
         F.col("experiment_id").alias("u_experiment"),
@@ -78,15 +149,13 @@ def _double(state: DataFrame) -> DataFrame:
     joined = open_.join(
         upper,
         (F.col("experiment_id") == F.col("u_experiment")) & (F.col("_link") == F.col("u_cnode")),
-        "left",
     )
     grown = joined.select(
-        *(F.col(f"open.{c}") for c in state.columns if c not in ("_link", "ids", "regions", "names")),
+        *(F.col(f"open.{c}") for c in state.columns if c not in ("_link", *_PATH)),
         F.col("u_link").alias("_link"),
         F.concat("u_ids", "ids").alias("ids"),
         F.concat("u_regions", "regions").alias("regions"),
         F.concat("u_names", "names").alias("names"),
-        F.col("u_cnode").isNull().alias("_dangling"),
     )
     return done.unionByName(grown)
 

@@ -121,3 +121,22 @@ def test_running_sum_agrees_with_a_window(spark, skewed):
     upto = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wrong = summed.withColumn("t", F.sum("w").over(upto)).where("abs(s - t) > 1e-6")
     assert summed.count() == 4000 and wrong.isEmpty()
+
+
+def test_search_for_heavy_keys_keeps_no_row_for_each_key(spark, monkeypatch):
+    """What is stored on the way depends on the number of buckets, not on that of the keys."""
+    stored = []
+
+    def watched(make):
+        def run(df, **aggregates):
+            stored.append(df.count())
+            return make(df, **aggregates)
+
+        return run
+
+    for name in ("cut", "cut_and_observe"):
+        if hasattr(lookup_module, name):
+            monkeypatch.setattr(lookup_module, name, watched(getattr(lookup_module, name)))
+    big = spark.range(50_000).select(F.col("id").alias("g"))
+    assert lookup_module.heavy_keys(big, ["g"]).isEmpty()
+    assert max(stored) <= 8192

@@ -110,3 +110,20 @@ def test_scratch_is_removed_on_request(spark, tmp_path):
     after = {p.name for p in shared.iterdir()}
     assert before - after == {folder.name, Path(newest).name} and before - after <= made
     assert kept.facts.count() > 0
+
+
+def test_stored_facts_do_not_meet_the_nodes(profile, tmp_path, monkeypatch):
+    """Facts are computed and moved once; their nodes are checked by the stored keys."""
+    from callgrove.sources import tables
+
+    joined = []
+    real = tables.lookup
+
+    def watched(big, table, on, **options):
+        joined.append(list(on))
+        return real(big, table, on, **options)
+
+    monkeypatch.setattr(tables, "lookup", watched)
+    stored = profile.write(str(tmp_path / "once"))
+    assert joined == [["experiment_id", "thread_id"]]
+    assert stored._nodes_checked and stored.facts.count() == profile.facts.count()

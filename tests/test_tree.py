@@ -128,3 +128,24 @@ def test_combined_classes(spark, profile):
     assert {r.path_class for r in tree.combined_classes(stored).where("cnode_id = 0").collect()} == {"USR"}
     rows = {r.cnode_id: r.callpath for r in profile.calltree(combined=True).collect()}
     assert rows[0] == "COM:/main" and rows[3] == "MPI:/main/MPI_Send"
+
+
+def test_leaves_take_no_part_in_the_doubling(spark, monkeypatch):
+    """A root with a hundred leaves: the rounds see the root alone."""
+    rows = [(1, 0, 0, "main", None, None, None, None)]
+    rows += [(1, i, i, f"f{i}", None, None, 0, None) for i in range(1, 101)]
+    seen = []
+    double = tree._double
+    monkeypatch.setattr(tree, "_double", lambda state: seen.append(state.count()) or double(state))
+    paths = tree.with_paths(spark.createDataFrame(rows, model.CNODES))
+    assert {(r.cnode_id, tuple(r.names)) for r in paths.collect()} == {
+        (0, ("main",)),
+        *((i, ("main", f"f{i}")) for i in range(1, 101)),
+    }
+    assert seen == [1]
+
+
+def test_dangling_nodes_of_a_null_experiment_count(spark):
+    rows = [(None, 0, 0, "a", None, None, None, None), (None, 1, 1, "b", None, None, 0, None)]
+    with pytest.raises(TreeError, match="1 call-tree nodes refer to a missing parent"):
+        tree.with_paths(spark.createDataFrame(rows, model.CNODES))
