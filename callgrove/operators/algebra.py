@@ -54,6 +54,8 @@ class Aligned:
     facts: DataFrame
     tree: DataFrame
     locations: DataFrame
+    #: Nodes of the operands with ``_path``, the common id.
+    nodes: DataFrame
 
 
 @dataclass(frozen=True)
@@ -180,27 +182,27 @@ def _path_ids(names: Column, seed: int) -> Column:
 
 
 def _hashed(
-    table: DataFrame, keys: Sequence[str], id_of: Callable[[int], Column]
+    table: DataFrame, keys_of: Callable[[int], Sequence[Column]], id_of: Callable[[int], Column]
 ) -> tuple[int, int]:
     """Seed under which different keys of a result have different ids, and the rows.
 
     Ids are 63-bit hashes of what they stand for, so they need no numbering and stay
     the same through nested operations.  A clash is next to impossible, but it would
-    add up unrelated values, hence the check.
+    add up unrelated values, hence the check.  Rows are moved once, by their id, and not
+    sorted: different keys of an id are counted by hashing.
     """
-    key = F.struct(*keys)
     for seed in range(_SEEDS):
+        keys = {f"_key{i}": key for i, key in enumerate(keys_of(seed))}
+        kinds = (
+            table.select("result_id", id_of(seed).alias("_id"), *(k.alias(n) for n, k in keys.items()))
+            .repartition("result_id", "_id")
+            .groupBy("result_id", "_id", *keys)
+            .agg(F.count(F.lit(1)).alias("_rows"))
+        )
         clashes, rows = (
-            table.groupBy("result_id", id_of(seed).alias("_id"))
-            .agg(
-                F.min(key).alias("_low"),
-                F.max(key).alias("_high"),
-                F.count(F.lit(1)).alias("_rows"),
-            )
-            .agg(
-                F.count_if(~F.col("_low").eqNullSafe(F.col("_high"))),
-                F.coalesce(F.sum("_rows"), F.lit(0)),
-            )
+            kinds.groupBy("result_id", "_id")
+            .agg(F.count(F.lit(1)).alias("_kinds"), F.sum("_rows").alias("_rows"))
+            .agg(F.count_if(F.col("_kinds") > 1), F.coalesce(F.sum("_rows"), F.lit(0)))
             .first()
         )
         if not clashes:
@@ -208,24 +210,45 @@ def _hashed(
     raise RuntimeError("no collision-free ids")
 
 
+def _last_step(seed: int) -> list[Column]:
+    """What tells a path from others of the same id: the id of the path above it, and its name.
+
+    Paths above are in the table themselves.  The shortest paths that clash differ in one of
+    the two, so their whole names need not be compared.
+    """
+    above = F.when(
+        F.size("names") > 1, _path_id(F.slice("names", F.lit(1), F.size("names") - 1), seed)
+    )
+    return [above, F.element_at("names", -1)]
+
+
 def _common_tree(tree: DataFrame, seed: int) -> DataFrame:
-    """Union of the operand trees; a shared node keeps the attributes of the first."""
+    """Union of the operand trees; a shared node keeps the attributes of the first.
+
+    ``seed`` is free of clashes, so an id stands for one path.  Rows are moved by id before
+    they are combined: the wide rows are not sorted in the tasks that read them, where a task
+    has as many as a file split holds.
+    """
     first = F.min_by(
-        F.struct("region_name", "file", "line", "path_class"), F.struct("ord", "cnode_id")
+        F.struct("names", "region_name", "file", "line", "path_class"), F.struct("ord", "cnode_id")
+    )
+    merged = (
+        tree.select("*", _path_id(F.col("names"), seed).alias("_path"))
+        .repartition("result_id", "_path")
+        .groupBy("result_id", "_path")
+        .agg(first.alias("_first"))
     )
-    prefixes = _path_ids(F.col("names"), seed)
-    merged = tree.groupBy("result_id", "names").agg(first.alias("_first"))
     merged = merged.select(
         F.col("result_id").alias("experiment_id"),
+        F.col("_path").alias("cnode_id"),
         "_first.*",
-        prefixes.alias("ids"),
-        F.transform("names", lambda name: hash_id(name)).alias("regions"),
-        "names",
+        _path_ids(F.col("_first.names"), seed).alias("ids"),
+        F.transform("_first.names", lambda name: hash_id(name)).alias("regions"),
     )
     return with_depth(
         merged.select(
             "experiment_id",
-            F.element_at("ids", -1).alias("cnode_id"),
+            "cnode_id",
             F.element_at("regions", -1).alias("region_id"),
             "region_name",
             "file",
@@ -323,25 +346,29 @@ def _align(
         facts = _move(operands.facts, places, rows)
     else:
         keys = _PLACE if system_dim is SystemDimension.KEEP else _PLACE[:3]
-        seed, rows = _hashed(operands.locations, keys, lambda s: _key_id(keys, s))
+        names = [F.col(key) for key in keys]
+        seed, rows = _hashed(operands.locations, lambda _: names, lambda s: _key_id(keys, s))
         places = operands.locations.withColumn("place", _key_id(keys, seed))
         locations = _location_rows(places, keys)
         facts = _move(operands.facts, places, rows)
         if keys != _PLACE:
             facts = _sum_places(facts, "thread_id")
-    seed, rows = _hashed(operands.tree, ["names"], lambda s: _path_id(F.col("names"), s))
+    seed, rows = _hashed(operands.tree, _last_step, lambda s: _path_id(F.col("names"), s))
     nodes = operands.tree.select(
         *_OPERAND, "cnode_id", _path_id(F.col("names"), seed).alias("_path")
     )
+    summed = system_dim is not SystemDimension.KEEP
     placed = lookup(
         facts,
         nodes,
         [*_OPERAND, "cnode_id"],
         table_bytes=64.0 * rows,
         spread=["metric", "thread_id"],
+        # Sums have a row for each metric and process at most: no node is heavy.
+        skewed=not summed,
     )
     placed = placed.drop("cnode_id").withColumnRenamed("_path", "cnode_id")
-    return Aligned(placed, _common_tree(operands.tree, seed), locations)
+    return Aligned(placed, _common_tree(operands.tree, seed), locations, nodes)
 
 
 def _combined_metrics(metrics: DataFrame) -> DataFrame:
@@ -541,11 +568,11 @@ def _cmp(operands: Operands, rel_tol: float) -> CompareResult:
     presence = [
         _presence(operands.metrics, "metric", ["metric"], F.col("metric")),
         _presence(operands.locations, "location", _PLACE, _place_label()),
-        _presence(operands.tree, "cnode", ["names"], F.array_join("names", "/")),
     ]
     # The summary counts rows; names are attached to the details alone.
+    lone_nodes = _presence(aligned.nodes, "cnode", ["_path"], F.lit(None).cast("string"))
     counted = cells.select("result_id")
-    for rows in presence:
+    for rows in [*presence, lone_nodes]:
         counted = counted.unionByName(rows.select("result_id"))
     found = counted.groupBy("result_id").agg(F.count(F.lit(1)).alias("_found"))
     summary = (
@@ -575,6 +602,8 @@ def _cmp(operands: Operands, rel_tol: float) -> CompareResult:
         .withColumn("kind", F.lit("value"))
         .select(columns)
     )
-    for rows in presence:
+    named = lone_nodes.drop("item").withColumnRenamed("_path", "cnode_id")
+    named = named.join(paths, ["result_id", "cnode_id"]).withColumnRenamed("_path", "item")
+    for rows in [*presence, named]:
         details = details.unionByName(rows.select(columns))
     return CompareResult(summary, details.withColumnRenamed("result_id", "experiment_id"))

@@ -269,3 +269,23 @@ def test_batches_read_the_experiments_that_they_name(spark, tmp_path):
     filters = [line for line in plan.splitlines() if "Filter" in line and "experiment_id" in line]
     assert any("experiment_id" in line and "IN (2,5)" in line for line in filters)
     assert delta.facts.where("value <> 0").isEmpty()
+
+
+def test_wide_tree_rows_are_not_sorted_where_they_are_read(profile, other):
+    """They are moved by id first, so a task sorts a shuffle partition and not a file split."""
+    tree = profile.diff(other).tree
+    plan = tree._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = [i for i, line in enumerate(plan) if "SortAggregate" in line]
+    moved = [i for i, line in enumerate(plan) if "Exchange" in line]
+    assert at and moved and max(at) < min(moved)
+
+
+def test_summaries_move_no_names(profile, other):
+    """Nodes of one operand alone are counted by id; their names are for the details."""
+    result = profile.cmp(other)
+    plan = result.summary._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert keys and not any("names" in line for line in keys)
+    named = result.details.where("kind = 'cnode'").collect()
+    assert all(row["item"] for row in named)
+    assert result.summary.first().n_diff == result.details.count()

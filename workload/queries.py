@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from callgrove import Profile, SystemDimension, model
 from callgrove.operators import algebra, analysis, dimensions, inspection, tree
+from callgrove.plans.lookup import lookup, measured_bytes
 from callgrove.sources import builder, reports
 from workload import exports
 from workload.profiles import open_profile, order_profile
@@ -48,17 +49,20 @@ def _cells(profile: Profile, digits: int = 4) -> DataFrame:
         "experiment_id", "cnode_id", F.array_join("names", "/").alias("path")
     )
     places = profile.locations.select("experiment_id", "thread_id", "process", "thread")
-    return (
-        profile.facts.join(paths, ["experiment_id", "cnode_id"])
-        .join(places, ["experiment_id", "thread_id"])
-        .select(
-            "experiment_id",
-            "metric",
-            "path",
-            "process",
-            "thread",
-            F.round("value", digits).alias("value"),
-        )
+    named = lookup(
+        profile.facts.join(paths, ["experiment_id", "cnode_id"]),
+        places,
+        ["experiment_id", "thread_id"],
+        table_bytes=measured_bytes(places),
+        spread=["metric", "cnode_id"],
+    )
+    return named.select(
+        "experiment_id",
+        "metric",
+        "path",
+        "process",
+        "thread",
+        F.round("value", digits).alias("value"),
     )
 
 
