@@ -19,6 +19,8 @@ if TYPE_CHECKING:
 _NODE = ["experiment_id", "cnode_id"]
 _GROUP = ["experiment_id", "metric", "region_id", "inclusive"]
 _QUARTILES = {"quartile_25": 0.25, "median": 0.5, "quartile_75": 0.75}
+#: Most locations of an experiment whose samples are sorted as one array each.
+_SORTED_LOCATIONS = 1 << 14
 
 
 def routine_stats(
@@ -38,8 +40,10 @@ def routine_stats(
     1 for the sample variance and 0 for the population variance.  Only routines in
     ``routines`` are kept; ``None`` or an empty sequence keeps all.
 
-    Quartiles are exact, interpolated between ranks, and take a distributed sort of all
-    values.  With ``rank_error`` they come from mergeable sketches in the one aggregation of
+    Quartiles are exact, interpolated between ranks.  A sample has at most one value per
+    location, so those of experiments with up to ``_SORTED_LOCATIONS`` locations are sorted as
+    arrays, in the one aggregation of the other statistics; larger experiments take a
+    distributed sort of their values.  With ``rank_error`` they come from mergeable sketches in the one aggregation of
     the other statistics: the value whose rank differs from the wanted one by at most that
     share of the present values, 99 times out of 100, without interpolation.  Zeros of
     absent locations have their exact weight in both.
@@ -49,21 +53,38 @@ def routine_stats(
     if sketched and not 0 < rank_error < 1:
         raise ValueError(f"rank_error must lie between 0 and 1, got {rank_error}")
     per_thread = _per_thread(profile, metrics, routines)
-    if quartiles and not sketched:
-        # Ranking keeps the rows, so the facts are read once for all statistics.
-        order = [F.col("value"), F.col("thread_id")]
-        per_thread = number_rows(per_thread, _GROUP, order, "_rank")
     locations = profile.locations.groupBy("experiment_id").agg(
         F.count(F.lit(1)).alias("locations")
     )
+    exact = quartiles and not sketched
+    large = locations.where(F.col("locations") > _SORTED_LOCATIONS).select("experiment_id")
+    ranked = None
+    if exact and not large.isEmpty():
+        order = [F.col("value"), F.col("thread_id")]
+        ranked = number_rows(
+            per_thread.join(F.broadcast(large), "experiment_id", "left_semi"), _GROUP, order, "_rank"
+        )
+        per_thread = ranked.drop("_rank").unionByName(
+            per_thread.join(F.broadcast(large), "experiment_id", "left_anti")
+        )
     # Routines without any value take part as rows without a value.
     named = profile.cnodes.where(_chosen(F.col("region_name"), routines)).select(
         "experiment_id", "region_id", "region_name"
     )
-    all_rows = per_thread.select(*_GROUP, "value").unionByName(
-        _routines(profile, named, metrics)
+    all_rows = per_thread.select(*_GROUP, "value", "thread_id").unionByName(
+        _routines(profile, named, metrics).withColumn("thread_id", F.lit(None).cast("long"))
     )
+    if ranked is not None:
+        all_rows = all_rows.join(
+            F.broadcast(large.withColumn("_large", F.lit(True))), "experiment_id", "left"
+        )
     moments = _present_moments()
+    if exact:
+        kept = F.col("value") if ranked is None else F.when(F.col("_large").isNull(), F.col("value"))
+        moments += [
+            F.count("thread_id").alias("_stored"),
+            F.sort_array(F.collect_list(kept)).alias("_values"),
+        ]
     if sketched:
         size = F.lit(sketch_size(rank_error / 2))
         moments += [
@@ -79,10 +100,16 @@ def routine_stats(
     extra: list[Column | str] = []
     if sketched:
         extra = [_sketched_quantile(share, rank_error).alias(name) for name, share in _QUARTILES.items()]
-    elif quartiles:
-        rows = rows.join(_quartiles(per_thread, locations), _GROUP, "left")
-        rows = rows.fillna(0.0, list(_QUARTILES))
-        extra = list(_QUARTILES)
+    elif exact:
+        extra = [_sorted_quantile(share).alias(name) for name, share in _QUARTILES.items()]
+        if ranked is not None:
+            far = _quartiles(ranked, locations)
+            far = far.select(*_GROUP, *(F.col(name).alias(f"_{name}") for name in _QUARTILES))
+            rows = rows.join(far, _GROUP, "left")
+            extra = [
+                F.coalesce(f"_{name}", _sorted_quantile(share)).alias(name)
+                for name, share in _QUARTILES.items()
+            ]
     moments = _moments(F.col("locations"), ddof)
     return rows.select(
         "experiment_id",
@@ -121,6 +148,27 @@ def _sketched_quantile(share: float, rank_error: float) -> Column:
     return F.when(is_zero, F.lit(0.0)).otherwise(F.get(values, at))
 
 
+def _sorted_quantile(share: float) -> Column:
+    """Quantile by linear interpolation between ranks, from the sorted present values.
+
+    Absent locations are zeros between the negative and the other values.  Stored values that
+    are null come first and count as 0.
+    """
+    n, stored, values = F.col("_n"), F.col("_stored"), F.col("_values")
+    absent, empty = F.col("locations") - stored, stored - n
+    below = F.size(F.filter(values, lambda value: value < 0)) + empty
+
+    def value_at(rank: Column) -> Column:
+        index = F.when(rank < below, rank - empty).when(
+            rank >= below + absent, rank - empty - absent
+        )
+        return F.coalesce(F.get(values, index.cast("int")), F.lit(0.0))
+
+    at = (F.col("locations") - 1) * F.lit(share)
+    weight = at - F.floor(at)
+    return value_at(F.floor(at)) * (1 - weight) + value_at(F.floor(at) + 1) * weight
+
+
 def _label() -> Column:
     kind = F.when(F.col("inclusive"), F.lit("INCL(")).otherwise(F.lit("EXCL("))
     return F.concat(kind, "region_name", F.lit(")"))
@@ -305,7 +353,7 @@ def _per_thread(
 
 
 def _quartiles(ranked: DataFrame, locations: DataFrame) -> DataFrame:
-    """Exact quartiles by linear interpolation between ranks.
+    """Exact quartiles by linear interpolation between ranks, of samples too large for an array.
 
     ``_rank`` comes from a distributed sort of the values.  The zeros of absent
     locations sit between the negative and the other values: they push up the ranks

@@ -192,3 +192,26 @@ def test_sketched_quartiles_take_no_checkpoint(spark, profile):
     assert small["EXCL(main)"].quartile_25 == 1.0
     with pytest.raises(ValueError, match="rank_error"):
         profile.stat(quartiles=True, rank_error=1.5)
+
+
+def test_quartiles_by_arrays_and_by_ranks_are_the_same(spark, profile, monkeypatch):
+    """Samples of few locations take no distributed sort; larger ones agree with them."""
+    from callgrove.operators import stats
+
+    values = [(1, 0, 0, -3.0), (1, 0, 1, -1.0), (1, 1, 2, 5.0), (1, 2, 3, None), (1, 2, 0, 2.0)]
+    rows = [(e, "time", node, thread, value) for e, node, thread, value in values]
+    mixed = type(profile)(
+        profile.experiments, profile.metrics, profile.locations, profile.cnodes,
+        spark.createDataFrame(rows, profile.facts.schema),
+    )
+    columns = ["routine", "count", "quartile_25", "median", "quartile_75"]
+
+    def quartiles():
+        found = mixed.stat(("time",), quartiles=True).select(columns).collect()
+        return sorted((tuple(row) for row in found), key=str)
+
+    monkeypatch.setattr(stats, "number_rows", None)
+    by_arrays = quartiles()
+    monkeypatch.undo()
+    monkeypatch.setattr(stats, "_SORTED_LOCATIONS", 0)
+    assert by_arrays == quartiles()
