@@ -63,6 +63,9 @@ def profile_from_reports(
         table_bytes=measured_bytes(nodes, 32),
         spread=["metric", "thread_id"],
         how="left",
+        # Cells are unique here: a node has one for each metric and thread at most, and a tree
+        # that is not broadcast has over a million nodes.  So the dumps are parsed once only.
+        skewed=False,
     )
     if locations is not None:
         threads = locations.select("experiment_id", "thread_id").distinct()

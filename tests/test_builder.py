@@ -91,3 +91,21 @@ def test_no_reports_make_an_empty_profile(spark, profile):
     )
     assert built.profile.facts.isEmpty() and built.profile.tree.isEmpty() and built.rejects.isEmpty()
     assert built.profile.experiments.where(F.lit(True)).count() == 0
+
+
+def test_dumps_are_not_searched_for_heavy_nodes(profile, written, monkeypatch):
+    """Cells are unique, so the joined dumps need no job of their own before the join."""
+    from callgrove.plans import lookup as lookup_module
+
+    searched = []
+    real = lookup_module.heavy_keys
+    monkeypatch.setattr(
+        lookup_module, "heavy_keys", lambda big, on: searched.append(list(on)) or real(big, on)
+    )
+    monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", -1)
+    dumps, summaries = written({1: DUMP + "0,0,1,2\n77,0,5,6\n"}, {1: BASIC.format(2)})
+    built = builder.profile_from_reports(
+        dumps, summaries, profile.cnodes, metrics=profile.metrics, locations=profile.locations
+    )
+    assert _reasons(built)[(1, "unknown call-tree node")] == 2
+    assert ["experiment_id", "cnode_id"] not in searched
