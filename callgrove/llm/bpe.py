@@ -24,20 +24,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from callgrove.llm.common import table
-from callgrove.llm.tokens import ByteUnits
+from callgrove.llm.tokens import ByteUnits, byte_letters
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Fixed value: the pre-tokenizer pattern of the public byte-level BPE.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
-def byte_letters() -> dict[str, int]:
-    """Letter of each byte in the vocabulary file: printable bytes are themselves."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 class Merges:
     """The merge table: sorted pair keys with rank and result, and the bytes of each id."""
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import compress
 from operator import add
 
 import numpy as np
@@ -35,20 +36,37 @@ CACHE_UNITS = 600_000
 JOINED_UNITS = 256
 
 
+def byte_letters() -> dict[str, int]:
+    """Letter of each byte in a byte-level vocabulary: printable bytes are themselves."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+#: From bytes, read as Latin-1, to their letters; a line feed separates words.
+_LETTERS = {byte: letter for letter, byte in byte_letters().items()} | {10: " "}
+
+
 class Units:
     """Ids of units as little-endian unsigned 32-bit integers, encoded on first sight.
 
     New units go to the library many in one text, as a call costs more than a unit. A
     separator stands between them: the pre-tokenizer cuts on both sides of it, and it has
-    one id that no unit without its character has.
+    one id that no unit without its character has. Words of Latin letters, nearly all new
+    units, are one pre-token each and go to the library's model without the normalizer and
+    the pre-tokenizer, which take most of its time.
     """
 
     #: The separator, and the character that a unit must lack to be joined with others.
     SEPARATOR, MARK = "", ""
 
+    #: End of the tokens that end a word, no part of their spelling.
+    WORD_END = ""
+
     def __init__(self, name: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.no_truncation()
@@ -58,6 +76,12 @@ class Units:
         self.separator = np.array(self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids)
         if len(self.separator) != 1:
             raise ValueError(f"{name} has no single id for the separator")
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        vocab = self.tokenizer.get_vocab()
+        self.spelled = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.spelled[i] = len(token.removesuffix(self.WORD_END))
         self.known: dict = {}
         self.forget()
 
@@ -67,6 +91,47 @@ class Units:
 
     def encode_new(self, units: list[str]) -> list[bytes]:
         """Ids of each unit."""
+        letters = [self.of_letters(unit) for unit in units]
+        words = iter(self.encode_words(list(compress(units, letters))))
+        others = iter(self.encode_others([u for u, is_word in zip(units, letters, strict=True) if not is_word]))
+        return [next(words) if is_word else next(others) for is_word in letters]
+
+    @staticmethod
+    def of_letters(unit: str) -> bool:
+        """Whether a unit is one pre-token of letters up to U+00FF, which normalizing only lowers."""
+        return unit.isalpha() and (unit.isascii() or max(unit) <= "\xff")
+
+    @staticmethod
+    def normalized(text: str) -> str:
+        """Words of letters as the normalizer leaves them."""
+        return text
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, by the library's model alone.
+
+        A word's ids are those that spell its bytes, one letter a byte.
+        """
+        groups = [words[i : i + JOINED_UNITS] for i in range(0, len(words), JOINED_UNITS)]
+        spelled = [self.normalized("\n".join(group)).encode() for group in groups]
+        joined = [raw.decode("latin-1").translate(_LETTERS) for raw in spelled]
+        out: list[bytes] = []
+        for group, raw, found in zip(
+            groups, spelled, self.model.encode_batch_fast(joined, add_special_tokens=False), strict=True
+        ):
+            ids = np.array(found.ids, "<u4")
+            gaps = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+            stops = np.append(gaps, len(raw)) - np.arange(len(group))
+            reached = np.cumsum(self.spelled[ids])
+            at = np.searchsorted(reached, stops)
+            if len(at) > len(ids) or at[-1] != len(ids) - 1 or (reached[at] != stops).any():
+                out += self.encode_others(group)
+                continue
+            blob, ends = ids.tobytes(), (4 * at + 4).tolist()
+            out += [blob[start:end] for start, end in zip([0, *ends], ends)]  # noqa: B905
+        return out
+
+    def encode_others(self, units: list[str]) -> list[bytes]:
+        """Ids of units of any kind, by the library as a whole."""
         out: list[bytes] = [b""] * len(units)
         plain = [i for i, unit in enumerate(units) if self.MARK not in unit]
         alone = [i for i, unit in enumerate(units) if self.MARK in unit]
@@ -100,6 +165,8 @@ class Units:
         alone = list({*words, *rests}.difference(self.known))
         self.known.update(zip(alone, self.encode_new(alone), strict=True))
         ids = self.known.__getitem__
+        both = [unit != word for unit, word in zip(listed, words, strict=True)]
+        listed, words, rests = (list(compress(part, both)) for part in (listed, words, rests))
         self.known.update(zip(listed, map(add, map(ids, words), map(ids, rests)), strict=True))
 
     def many(self, texts: list[str]) -> list[bytes]:
@@ -128,10 +195,14 @@ class ByteUnits(Units):
         words = [c if c[1:].isalpha() else u for c, u in zip(cores, units, strict=True)]
         return words, [u[len(w) :] for w, u in zip(words, units, strict=True)]
 
-    def encode_new(self, units: list[str]) -> list[bytes]:
+    @staticmethod
+    def of_letters(unit: str) -> bool:
+        return Units.of_letters(unit.removeprefix(" "))
+
+    def encode_others(self, units: list[str]) -> list[bytes]:
         # White space next to the separator would be cut otherwise than alone.
         blank = [unit.isspace() for unit in units]
-        words = iter(super().encode_new([u for u, b in zip(units, blank, strict=True) if not b]))
+        words = iter(super().encode_others([u for u, b in zip(units, blank, strict=True) if not b]))
         spaces = self.tokenizer.encode_batch_fast(
             [u for u, b in zip(units, blank, strict=True) if b], add_special_tokens=False
         )
@@ -149,7 +220,11 @@ class ByteUnits(Units):
 class WordUnits(Units):
     """BPE with word ends: white space is dropped, so any white space separates units."""
 
-    SEPARATOR, MARK = " | ", "|"
+    SEPARATOR, MARK, WORD_END = " | ", "|", "</w>"
+
+    @staticmethod
+    def normalized(text: str) -> str:
+        return text.lower()
 
     @staticmethod
     def split(units: list[str]) -> tuple[list[str], list[str]]:

@@ -192,6 +192,29 @@ def test_units_equal_whole_texts(name, text):
     assert np.frombuffer(tokens.encoder(name).ids(text), "<u4").tolist() == want
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_of_letters_need_the_model_alone(name, monkeypatch):
+    """Nothing but words of Latin letters skips the normalizer and the pre-tokenizer."""
+    units = tokens.encoder(name)
+    words = ["Übergrößenträger", "naïveté", "ªµº", "ßÞÿ", "ANBLEWHZU", "aienèéq"]
+    if name.startswith("byte"):
+        words += [" " + word for word in words]
+    want = [_library_cached(name).encode(word, add_special_tokens=False).ids for word in words]
+    seen = []
+    monkeypatch.setattr(units, "encode_others", lambda rest: seen.extend(rest) or [b""] * len(rest))
+    found = units.encode_new([*words, "it's", "x1", "İstanbul", "e\u0301a", "a-b", "ſo"])
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found[: len(words)]] == want
+    assert seen == ["it's", "x1", "İstanbul", "e\u0301a", "a-b", "ſo"]
+
+
+def test_words_whose_ids_do_not_spell_them_go_to_the_whole_library(monkeypatch):
+    units = tokens.WordUnits("word_bpe_49k.json")
+    monkeypatch.setattr(units, "spelled", units.spelled + 1)
+    words = ["somewhat", "longer", "wordsandmore"]
+    want = [_library_cached("word_bpe_49k.json").encode(word, add_special_tokens=False).ids for word in words]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in units.encode_new(words)] == want
+
+
 _cached: dict = {}
 
 
