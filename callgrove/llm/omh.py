@@ -59,7 +59,7 @@ def elements(words: Column, k: int = K) -> Column:
             s, numbers, lambda e, n: F.struct(F.xxhash64(e["h"], n).alias("h"), e["pos"].alias("pos"))
         )
 
-    return F.when(F.size(words) > 0, _let(F.array_sort(_let(words, kmers)), numbered))
+    return F.when(F.size(words) > 0, _let(F.sort_array(_let(words, kmers)), numbered))
 
 
 def tuples(text: Column, k: int = K, count: int = TUPLES, pick: int = PICK) -> Column:
@@ -73,7 +73,7 @@ def tuples(text: Column, k: int = K, count: int = TUPLES, pick: int = PICK) -> C
                 F.pmod(e["h"], F.lit(bins)).cast("int").alias("bin"), e["h"].alias("h"), e["pos"].alias("pos")
             ),
         )
-        return F.when(F.size(w) > 0, _let(F.array_sort(dealt), minima))
+        return F.when(F.size(w) > 0, _let(F.sort_array(dealt), minima))
 
     def minima(s: Column) -> Column:
         firsts = F.filter(s, lambda e, i: (i == 0) | (e["bin"] != F.get(s, i - 1)["bin"]))
@@ -92,7 +92,7 @@ def tuples(text: Column, k: int = K, count: int = TUPLES, pick: int = PICK) -> C
             chosen = F.transform(
                 F.slice(b, t * pick + 1, pick), lambda e: F.struct(e["pos"].alias("pos"), e["h"].alias("h"))
             )
-            return F.xxhash64(F.transform(F.array_sort(chosen), lambda e: e["h"]))
+            return F.xxhash64(F.transform(F.sort_array(chosen), lambda e: e["h"]))
 
         return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), one)
 

@@ -166,6 +166,12 @@ def test_order_minhash_sees_order_and_edits(spark):
     assert got[4] == got[5] == []
 
 
+def test_order_minhash_sorts_without_a_comparator(spark):
+    """``array_sort`` compares by an interpreted lambda, several times for each word."""
+    rows = spark.createDataFrame([("a b a b",)], "t string").select(omh.tuples(F.col("t")))
+    assert "array_sort" not in rows._jdf.queryExecution().toString()
+
+
 def test_next_row_by_descending_id(docs, none, monkeypatch):
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     order = sorted(((i, t or "") for i, t in TEXTS), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
