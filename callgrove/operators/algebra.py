@@ -35,6 +35,8 @@ _CELL = ["result_id", "metric", "cnode_id", "thread_id"]
 _SEEDS = 8
 #: Most operands whose experiment ids are listed in a partition filter.
 _LISTED_IDS = 1024
+#: Locations up to which a node's cells are few enough for one task, whatever their share.
+_FEW_PLACES = 16_384
 
 
 @dataclass(frozen=True)
@@ -56,6 +58,8 @@ class Aligned:
     locations: DataFrame
     #: Nodes of the operands with ``_path``, the common id.
     nodes: DataFrame
+    #: Whether a node has at most ``_FEW_PLACES`` values of a metric in an operand.
+    few_places: bool
 
 
 @dataclass(frozen=True)
@@ -339,11 +343,13 @@ def _align(
         places = operands.locations.withColumn("place", F.lit(0).cast("long"))
         locations = _location_rows(places, [])
         facts = _sum_places(operands.facts).withColumn("thread_id", F.lit(0).cast("long"))
+        few_places = True
     elif system_dim is SystemDimension.KEEP and same_system:
         rows = _same_system_rows(operands.locations)
         places = _first_ids(operands.locations)
         locations = _location_rows(places, _PLACE)
         facts = _move(operands.facts, places, rows)
+        few_places = rows <= _FEW_PLACES
     else:
         keys = _PLACE if system_dim is SystemDimension.KEEP else _PLACE[:3]
         names = [F.col(key) for key in keys]
@@ -353,6 +359,7 @@ def _align(
         facts = _move(operands.facts, places, rows)
         if keys != _PLACE:
             facts = _sum_places(facts, "thread_id")
+        few_places = rows <= _FEW_PLACES
     seed, rows = _hashed(operands.tree, _last_step, lambda s: _path_id(F.col("names"), s))
     nodes = operands.tree.select(
         *_OPERAND, "cnode_id", _path_id(F.col("names"), seed).alias("_path")
@@ -364,11 +371,12 @@ def _align(
         [*_OPERAND, "cnode_id"],
         table_bytes=64.0 * rows,
         spread=["metric", "thread_id"],
-        # Sums have a row for each metric and process at most: no node is heavy.
-        skewed=not summed,
+        # Sums have a row for each metric and process at most, other facts one for each metric
+        # and location: no node is heavy. Cells that are there twice only make a task longer.
+        skewed=not (summed or few_places),
     )
     placed = placed.drop("cnode_id").withColumnRenamed("_path", "cnode_id")
-    return Aligned(placed, _common_tree(operands.tree, seed), locations, nodes)
+    return Aligned(placed, _common_tree(operands.tree, seed), locations, nodes, few_places)
 
 
 def _combined_metrics(metrics: DataFrame) -> DataFrame:
@@ -387,11 +395,22 @@ def _combined_metrics(metrics: DataFrame) -> DataFrame:
     )
 
 
-def _result(operands: Operands, aligned: Aligned, value: Column, pinned: int | None) -> Profile:
+def _result(
+    operands: Operands, aligned: Aligned, value: Column, pinned: int | None, *, by_node: bool = False
+) -> Profile:
+    """The profile of ``value`` over the operands' facts.
+
+    ``by_node`` says that only one or two operands have a value for a cell. Nothing is
+    gained by combining values before they are moved then, so they are moved by node, as
+    the tree is, and later joins with the tree need not move them again.
+    """
     from callgrove.profile import Profile
 
+    cells = aligned.facts
+    if by_node and aligned.few_places:
+        cells = cells.repartition("result_id", "cnode_id")
     facts = (
-        aligned.facts.groupBy(*_CELL)
+        cells.groupBy(*_CELL)
         .agg(value.alias("value"))
         .withColumnRenamed("result_id", "experiment_id")
     )
@@ -450,7 +469,7 @@ def pair_groups(pairs: DataFrame) -> DataFrame:
 def _diff(operands: Operands, system_dim: SystemDimension, pinned: int | None) -> Profile:
     aligned = _align(operands, system_dim)
     signed = F.when(F.col("ord") == 0, F.col("value")).otherwise(-F.col("value"))
-    return _result(operands, aligned, F.sum(signed), pinned)
+    return _result(operands, aligned, F.sum(signed), pinned, by_node=True)
 
 
 # Mean
@@ -514,7 +533,7 @@ def _merge(operands: Operands, system_dim: SystemDimension, pinned: int | None)
         how="left_semi",
     )
     narrowed = Operands(operands.metrics, operands.locations, operands.tree, chosen)
-    return _result(operands, _align(narrowed, system_dim), F.sum("value"), pinned)
+    return _result(operands, _align(narrowed, system_dim), F.sum("value"), pinned, by_node=True)
 
 
 def _require_two(name: str, profiles: tuple[Profile, ...]) -> None:

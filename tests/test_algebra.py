@@ -289,3 +289,25 @@ def test_summaries_move_no_names(profile, other):
     named = result.details.where("kind = 'cnode'").collect()
     assert all(row["item"] for row in named)
     assert result.summary.first().n_diff == result.details.count()
+
+
+def test_few_locations_need_no_search_for_heavy_nodes(profile, other, monkeypatch):
+    want = [_cells(p) for p in (profile.merge(profile, other), profile.diff(other))]
+    searched = []
+    heavy = lookup_module.heavy_keys
+    monkeypatch.setattr(lookup_module, "heavy_keys", lambda big, on: searched.append(on) or heavy(big, on))
+    monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", 0)
+    assert [_cells(p) for p in (profile.merge(profile, other), profile.diff(other))] == want
+    assert not [on for on in searched if "cnode_id" in on]
+    monkeypatch.setattr(algebra, "_FEW_PLACES", 1)
+    assert [_cells(p) for p in (profile.merge(profile, other), profile.diff(other))] == want
+    assert [on for on in searched if "cnode_id" in on]
+
+
+def test_values_are_moved_by_node_alone(profile, other):
+    """The tree is dealt by node too, so a join of the two moves neither again."""
+    for result in (profile.merge(profile, other), profile.diff(other)):
+        plan = result.facts._jdf.queryExecution().executedPlan().toString()
+        moves = [line for line in plan.splitlines() if "Exchange hashpartitioning(result_id" in line]
+        assert moves
+        assert not [line for line in moves if "cnode_id" in line and "metric#" in line]
