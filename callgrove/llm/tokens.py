@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import compress
 from operator import add
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space of the pre-tokenizer's patterns (Unicode White_Space).
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -47,6 +49,29 @@ def byte_letters() -> dict[str, int]:
 _LETTERS = {byte: letter for letter, byte in byte_letters().items()} | {10: " "}
 
 
+def _end_to_end(table: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all entries, and how many each has."""
+    return np.frombuffer(b"".join(table), "<u4"), np.fromiter(map(len, table), np.int32, len(table)) // 4
+
+
+def _taken(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the entries ``at`` one after the other, and how many each has; 32 bits count what a batch has."""
+    lengths = sizes[at]
+    begins = (np.cumsum(sizes, dtype=np.int64) - sizes)[at] - (np.cumsum(lengths, dtype=np.int64) - lengths)
+    places = np.repeat(begins.astype(np.int32), lengths)
+    places += np.arange(len(places), dtype=np.int32)
+    return ids.take(places), lengths
+
+
+def _perhaps_spaced(pieces: pa.Array) -> np.ndarray:
+    """Which pieces are empty or have a control character or one beyond ASCII, so perhaps white space."""
+    _, offsets, data = pieces.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[pieces.offset :][: len(pieces) + 1]
+    raw = np.frombuffer(data or b"", np.uint8)
+    odd = np.append(0, np.cumsum((raw < 32) | (raw > 127), dtype=np.int64))
+    return (offsets[1:] == offsets[:-1]) | (odd[offsets[1:]] > odd[offsets[:-1]])
+
+
 class Units:
     """Ids of units as little-endian unsigned 32-bit integers, encoded on first sight.
 
@@ -185,6 +210,9 @@ class ByteUnits(Units):
 
     SEPARATOR = MARK = "\n"
 
+    #: Words and marks kept in one Python worker when texts come by the batch; what they make up is not kept.
+    CACHE_WORDS = 1_000_000
+
     def forget(self) -> None:
         super().forget()
         self.known.update({content: np.array([i], "<u4").tobytes() for content, i in self.special.items()})
@@ -216,6 +244,111 @@ class ByteUnits(Units):
                 return first + [u for part in rest for u in (content, *part)]
         return BYTE_UNIT.findall(text)
 
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts one after the other, and how many each text has; nulls count as empty.
+
+        Arrow cuts at single blanks and finds the distinct pieces. A piece is encoded with the
+        blank before it, the first of a text without. Such a cut is one of the pre-tokenizer's
+        unless white space stands on both sides of the blank; texts with such a blank are cut
+        by the pattern, and so are those with a special token. Where all line feeds of a text
+        stand alone between words, it is cut before and behind them too.
+        """
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        texts = texts.cast(pa.string()).fill_null("")
+        beside = [pc.match_substring(texts, pair) for pair in ("\n\n", " \n", "\n ")]
+        lines = pc.invert(reduce(pc.or_, [*beside, pc.starts_with(texts, "\n"), pc.ends_with(texts, "\n")]))
+        cut = pc.split_pattern(pc.if_else(lines, pc.replace_substring(texts, "\n", " \n "), texts), " ")
+        bounds = cut.offsets.to_numpy()
+        starts, stops = bounds[:-1], bounds[1:]
+        coded = cut.flatten().dictionary_encode()
+        pieces, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        slow = np.flatnonzero(self._between_spaces(pieces, at, starts) | self._with_special(pieces, at, starts))
+        feed = pieces.index("\n").as_py()
+        feeds = (at == feed) & np.repeat(lines.to_numpy(zero_copy_only=False), stops - starts)
+        # Neither first pieces nor such line feeds, nor what follows them, have a blank before them.
+        bare = feeds.copy()
+        bare[1:] |= feeds[:-1]
+        bare[starts] = True
+        ids, sizes, known = [], [], 0
+        for part, blank in ((~bare, " "), (bare, "")):
+            chosen = np.zeros(len(pieces), bool)
+            chosen[at[part]] = True
+            found = self._of_pieces(pieces.filter(pa.array(chosen)), blank)
+            at[part] = (np.cumsum(chosen) + (known - 1))[at[part]]
+            ids.append(found[0])
+            sizes.append(found[1])
+            known += len(found[1])
+        # A text cut by the pattern is one piece of its own, and those that it had are empty.
+        for text in slow.tolist():
+            at[starts[text] : stops[text]] = known + len(slow)
+        at[starts[slow]] = known + np.arange(len(slow))
+        own, own_sizes = _end_to_end([*self.many(texts.take(pa.array(slow)).to_pylist()), b""])
+        all_ids, lengths = _taken(np.concatenate([*ids, own]), np.concatenate([*sizes, own_sizes]), at)
+        return all_ids, np.add.reduceat(lengths, starts, dtype=np.int64)
+
+    @staticmethod
+    def _between_spaces(pieces: pa.Array, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Texts where a blank stands between white space, given their pieces around blanks."""
+        head, tail, empty = np.zeros((3, len(pieces)), bool)
+        spaced = np.flatnonzero(_perhaps_spaced(pieces))
+        for i, piece in zip(spaced.tolist(), pieces.take(pa.array(spaced)).to_numpy(zero_copy_only=False).tolist(), strict=True):
+            head[i], tail[i], empty[i] = not piece or piece[0].isspace(), not piece or piece[-1].isspace(), not piece
+        before, after = head[at], tail[at]
+        # Nothing stands before an empty first piece, and no piece before the first.
+        after[starts] &= ~empty[at[starts]]
+        before[starts] = False
+        before[1:] &= after[:-1]
+        return np.logical_or.reduceat(before, starts)
+
+    def _with_special(self, pieces: pa.Array, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Texts that hold a special token, of which none has a blank."""
+        marked = np.zeros(len(pieces), bool)
+        for content in self.special:
+            marked |= pc.match_substring(pieces, content).to_numpy(zero_copy_only=False)
+        return np.logical_or.reduceat(marked[at], starts) if marked.any() else np.zeros(len(starts), bool)
+
+    def _of_pieces(self, pieces: pa.Array, blank: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces one after the other, and how many each has.
+
+        Pieces are a word and marks behind it, or else cut by the pattern.
+        """
+        cores = pc.ascii_rtrim(pieces, MARKS)
+        marks = (pc.binary_length(pieces).to_numpy() - pc.binary_length(cores).to_numpy()).astype(np.int64)
+        coded = cores.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        is_word = np.fromiter(map(str.isalpha, words), bool, len(words))
+        words = [blank + word if alpha else "" for word, alpha in zip(words, is_word.tolist(), strict=True)]
+        at = coded.indices.to_numpy().astype(np.int64)
+        plain = is_word[at]
+        marked, others = np.flatnonzero(plain & (marks > 0)), np.flatnonzero(~plain)
+        ends = pieces.take(pa.array(marked)).to_numpy(zero_copy_only=False).tolist()
+        ends = [piece[-n:] for piece, n in zip(ends, marks[marked].tolist(), strict=True)]
+        cut = [BYTE_UNIT.findall(blank + piece) for piece in pieces.take(pa.array(others)).to_numpy(zero_copy_only=False).tolist()]
+        units = list({unit for found in cut for unit in found})
+        firsts, seconds = self.split(units)
+        self.keep([*words, *ends, *firsts, *seconds])
+        ids = self.known.__getitem__
+        of_unit = dict(zip(units, map(add, map(ids, firsts), map(ids, seconds)), strict=True))
+        of_others = [b"".join([of_unit[unit] for unit in found]) for found in cut]
+        # The last is empty: what stands behind most words.
+        table = [*map(ids, words), *map(ids, ends), *of_others, b""]
+        both = np.full((len(pieces), 2), len(table) - 1)
+        both[:, 0] = at
+        both[marked, 1] = len(words) + np.arange(len(marked))
+        both[others, 1] = len(words) + len(marked) + np.arange(len(others))
+        all_ids, lengths = _taken(*_end_to_end(table), both.ravel())
+        return all_ids, lengths.reshape(-1, 2).sum(axis=1, dtype=np.int32)
+
+    def keep(self, units: list[str]) -> None:
+        """Encode what is not known yet; if that gets too much, only what is asked for stays."""
+        new = list({unit for unit in units if unit not in self.known})
+        if len(self.known) + len(new) > self.CACHE_WORDS:
+            kept = {unit: self.known[unit] for unit in units if unit in self.known}
+            self.forget()
+            self.known.update(kept)
+        self.known.update(zip(new, self.encode_new(new), strict=True))
+
 
 class WordUnits(Units):
     """BPE with word ends: white space is dropped, so any white space separates units."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -609,6 +611,77 @@ def test_coder_shrinks_repeats_and_sees_damage():
         shards.decode_ids(bytes(data[:-4]))
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_batches_of_texts_get_the_librarys_ids(seed):
+    """White space of all kinds around blanks, line feeds alone and in runs, marks, special tokens, nulls."""
+    pick = random.Random(seed)
+    odd = [*" \n\t\r\x0b\x1c\x85\xa0\u3000\u0301.,-_|\x00", "  ", "\n\n", "a", "Word", "don't", "'s", "é", "日本", "😀", "23"]
+    plain = ["a", "Bc", "d.", "e\nf", "x,", "'t", "é.", "9!", "<|endoftext|>"]
+    units, library = tokens.ByteUnits(shards.TOKENIZER), _library_cached(shards.TOKENIZER)
+    for _ in range(20):
+        texts = ["".join(pick.choices(odd, k=pick.randint(0, 14))) for _ in range(20)]
+        texts += [" ".join(pick.choices(plain, k=pick.randint(0, 9))) for _ in range(20)] + [None, "", " ", "\n", " a", "a "]
+        pick.shuffle(texts)
+        ids, sizes = units.flat(pa.array(texts, pa.string()))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert [len(part) for part in units.flat(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_a_full_cache_keeps_the_words_that_are_asked_for(monkeypatch):
+    units = tokens.ByteUnits(shards.TOKENIZER)
+    first = units.flat(pa.array(["alpha beta, gamma"]))[0].tolist()
+    monkeypatch.setattr(units, "CACHE_WORDS", len(units.known))
+    encoded, encode = [], units.encode_new
+    monkeypatch.setattr(units, "encode_new", lambda new: encoded.extend(new) or encode(new))
+    again = units.flat(pa.array(["alpha beta, gamma beta! delta"]))[0].tolist()
+    assert again[: len(first)] == first
+    assert " delta" in encoded and not {" beta", " gamma", ","}.intersection(encoded)
+
+
+def test_blocks_side_by_side_do_not_depend_on_each_other():
+    """Blocks of all sizes, more than are coded in one group, alone and together; longer ones are refused."""
+    pick = np.random.default_rng(8)
+    blocks = [pick.zipf(1.3, n) % 65536 for n in [0, 1, 63, 64, 65, 129, 513, *pick.integers(0, 700, 60), shards.BLOCK]]
+    together = shards.encode_blocks(blocks)
+    assert all((a == b).all() for a, b in zip(shards.decode_blocks(b"".join(together)), blocks, strict=True))
+    assert [shards.encode_blocks([b])[0] for b in blocks[:12]] == together[:12]
+    assert shards.encode_blocks([]) == shards.decode_blocks(b"") == []
+    with pytest.raises(ValueError, match="at most"):
+        shards.encode_blocks([np.zeros(shards.BLOCK + 1, np.int64)])
+
+
+def test_small_groups_give_the_same_blocks(monkeypatch):
+    ids = np.random.default_rng(9).zipf(1.2, 30_000) % 50_000
+    data = shards.encode_ids(ids)
+    monkeypatch.setattr(shards, "_LANES", 3)
+    assert shards.encode_ids(ids) == data
+    assert (shards.decode_ids(data) == ids).all()
+
+
+def test_segments_of_few_ids_hold_whole_documents(monkeypatch):
+    """A document longer than a segment stands alone; the others follow each other without gaps."""
+    monkeypatch.setattr(shards, "SEGMENT", 40)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [None, 1, 1, 2, 3, 4], "text": ["a", None, LONG, "b c", "d " * 30, ""]})
+    found = list(shards.segments(iter([batch, batch.slice(3)]), shards.TOKENIZER, 0, 7))
+    library = _library_cached(shards.TOKENIZER)
+    want = [[*library.encode(t or "", add_special_tokens=False).ids, 0] for t in batch["text"].to_pylist()]
+    want += want[3:]
+    assert [d for r in found for d in r["doc_ids"][0].as_py()] == [None, 1, 1, 2, 3, 4, 2, 3, 4]
+    assert [n for r in found for n in r["sizes"][0].as_py()] == [len(w) for w in want]
+    assert [i for r in found for i in shards.decode_ids(r["blocks"][0].as_py())] == [i for w in want for i in w]
+    assert [r["segment"][0].as_py() for r in found] == list(range(len(found)))
+    assert all(len(r["sizes"][0]) == 1 or sum(r["sizes"][0].as_py()) <= 40 for r in found)
+
+
+def test_tables_of_a_lane_stay_small():
+    """What steps look up at random has to stay near the processor; it was 170 KB a lane once."""
+    for writing in (True, False):
+        model = shards.Model(100, writing)
+        assert sum(a.nbytes for a in vars(model).values()) < 100 * 50_000
+
+
 def test_shards_give_back_all_documents_in_order(spark, docs, none, monkeypatch):
     path = f"{shared_dir(spark)}/shards-test"
     shards.write_shards(docs, path)
