@@ -2,17 +2,18 @@
 
 Ids are cut into blocks of at most BLOCK ids. Each block starts from a fresh model, has
 its own checksum and can be read alone. Order-2 and order-1 tables predict the next id
-from the ids before it. Order 0 holds the block's most frequent ids with their frequencies,
-counted anew at a few growing numbers of ids, and an escape; what escapes is written flat in
-16 bits. Learned confidences mix the orders into one interval of 25 bits for each id, which
-a 64-bit carry-less range coder writes as 32-bit words. All blocks of a segment are coded
-side by side, one numpy lane each. A width that vanishes would be an error of the coder and
-is one when writing, not when reading.
+from the ids before it and learn from each id. Order 0 holds the block's ids with their
+frequencies, counted anew at a few growing numbers of ids, and an escape; what escapes follows
+the words flat in 16 bits. Confidences, learned at fixed numbers of ids, mix the orders into
+one interval of 24 bits for each id, which a 64-bit carry-less range coder writes as 32-bit
+words. As the mix stays between two such numbers, a writer has the intervals of all ids there
+at once. Up to 2048 blocks are coded side by side, one numpy lane each. A width that vanishes
+would be an error of the coder and is one when writing, not when reading.
 
 A file row is a segment: its documents' ids and sizes in ascending ``doc_id`` order (nulls
-first, ties by the texts' hashes), and the bytes of its blocks. A block is ``CMR2``, the
-number of ids, the number of words and the crc32 of the ids (little-endian unsigned 32-bit
-each), then the words. Documents never span segments; blocks may hold parts of several.
+first, ties by the texts' hashes), and the bytes of its blocks. A block is ``CMR3``, the
+numbers of ids, of words and of escaped ids and the crc32 of the ids (little-endian unsigned
+32-bit each), then the words and the escaped ids. Documents never span segments; blocks may hold parts of several.
 
 Nulls: a null text counts as empty, so its document is the end id alone; a null ``doc_id``
 is kept. Texts are written whole at any length. Repeated rows are written each. An empty
@@ -202,14 +203,16 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
 
 def _ranks(ids: np.ndarray) -> np.ndarray:
     """Rank of each id among the distinct ids of its row."""
-    keys = ids.astype(np.uint32) << np.uint32(16) | np.arange(ids.shape[1], dtype=np.uint32)
-    keys.sort(axis=1)
-    named = keys >> np.uint32(16)
-    ranks = np.zeros(ids.shape, np.uint16)
-    np.cumsum(named[:, 1:] != named[:, :-1], axis=1, out=ranks[:, 1:])
-    out = np.empty_like(ranks)
-    keys = (keys & np.uint32(0xFFFF)) + np.arange(len(ids), dtype=np.int64)[:, None] * ids.shape[1]
-    out.ravel()[keys.ravel()] = ranks.ravel()
+    out = np.empty_like(ids)
+    # A few rows at a time stay near the processor.
+    for start in range(0, len(ids), 64):
+        rows = ids[start : start + 64]
+        keys = rows.astype(np.uint32) << np.uint32(16) | np.arange(rows.shape[1], dtype=np.uint32)
+        keys.sort(axis=1)
+        named = keys >> np.uint32(16)
+        ranks = np.zeros(rows.shape, np.uint16)
+        np.cumsum(named[:, 1:] != named[:, :-1], axis=1, out=ranks[:, 1:])
+        np.put_along_axis(out[start : start + 64], (keys & np.uint32(0xFFFF)).astype(np.int64), ranks, axis=1)
     return out
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache, reduce
+from functools import lru_cache
 from itertools import compress
 from operator import add
 
@@ -211,7 +211,7 @@ class ByteUnits(Units):
     SEPARATOR = MARK = "\n"
 
     #: Words and marks kept in one Python worker when texts come by the batch; what they make up is not kept.
-    CACHE_WORDS = 1_000_000
+    CACHE_WORDS = 800_000
 
     def forget(self) -> None:
         super().forget()
@@ -256,8 +256,7 @@ class ByteUnits(Units):
         if not len(texts):
             return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         texts = texts.cast(pa.string()).fill_null("")
-        beside = [pc.match_substring(texts, pair) for pair in ("\n\n", " \n", "\n ")]
-        lines = pc.invert(reduce(pc.or_, [*beside, pc.starts_with(texts, "\n"), pc.ends_with(texts, "\n")]))
+        lines = pc.invert(pc.match_substring_regex(texts, r"\n[\n ]| \n|^\n|\n$"))
         cut = pc.split_pattern(pc.if_else(lines, pc.replace_substring(texts, "\n", " \n "), texts), " ")
         bounds = cut.offsets.to_numpy()
         starts, stops = bounds[:-1], bounds[1:]
@@ -294,12 +293,14 @@ class ByteUnits(Units):
         spaced = np.flatnonzero(_perhaps_spaced(pieces))
         for i, piece in zip(spaced.tolist(), pieces.take(pa.array(spaced)).to_numpy(zero_copy_only=False).tolist(), strict=True):
             head[i], tail[i], empty[i] = not piece or piece[0].isspace(), not piece or piece[-1].isspace(), not piece
-        before, after = head[at], tail[at]
         # Nothing stands before an empty first piece, and no piece before the first.
-        after[starts] &= ~empty[at[starts]]
-        before[starts] = False
-        before[1:] &= after[:-1]
-        return np.logical_or.reduceat(before, starts)
+        first, bad = np.zeros(len(at), bool), np.zeros(len(starts), bool)
+        first[starts] = True
+        later = np.flatnonzero(head[at] & ~first)
+        before = at[later - 1]
+        later = later[tail[before] & ~(first[later - 1] & empty[before])]
+        bad[np.searchsorted(starts, later, side="right") - 1] = True
+        return bad
 
     def _with_special(self, pieces: pa.Array, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Texts that hold a special token, of which none has a blank."""

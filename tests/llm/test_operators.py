@@ -676,7 +676,7 @@ def test_segments_of_few_ids_hold_whole_documents(monkeypatch):
 
 
 def test_tables_of_a_lane_stay_small():
-    """What steps look up at random has to stay near the processor; it was 170 KB a lane once."""
+    """What steps look up at random has to stay near the processor; it was 200 KB a lane of a writer once."""
     for writing in (True, False):
         model = shards.Model(100, writing)
         assert sum(a.nbytes for a in vars(model).values()) < 100 * 50_000
